@@ -27,9 +27,16 @@ def query(name: str) -> Callable[[Query], Query]:
 
 
 def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
-    """Round the floating-point columns, the named ones to their own digits."""
-    floats = [n for n, t in df.dtypes if t in ("double", "float")]
-    return df.withColumns({c: F.round(c, special.get(c, digits)) for c in floats})
+    """Round the floating-point columns, the named ones to their own digits.
+
+    Written as plain arithmetic, which every engine evaluates alike; built-in
+    rounding differs between engines on ties.
+    """
+    def to_digits(name: str):
+        scale = 10.0 ** special.get(name, digits)
+        return F.floor(F.col(name) * scale + 0.5) / F.lit(scale)
+
+    return df.withColumns({n: to_digits(n) for n, t in df.dtypes if t in ("double", "float")})
 
 
 TRAILING = {n: TrailingSpec(n, g) for n, g in spec.TRAILING_GROUPS.items()}
@@ -346,9 +353,13 @@ def sort_desc(spark, folder):
 
 @query("basic_features")
 def basic_features(spark, folder):
+    """The bundle; which codes are frequent depends on the data, so their flags are added up."""
     rows = tables.with_supply_price(tables.sales(spark, folder), folder)
     full = dims.basic_features(rows, tables.dimensions(spark, folder), 0.8)
-    return rounded(full.withColumn(spec.NET_SALE, F.col(spec.NET_SALE).cast("double")))
+    flags = [c for c in full.columns if c in FLAGS]
+    total = sum((F.col(c) for c in flags), F.lit(0))
+    return rounded(full.withColumns({
+        spec.NET_SALE: F.col(spec.NET_SALE).cast("double"), "promo_flags": total}).drop(*flags))
 
 
 # --- averages and metrics --------------------------------------------------
