@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stockline import spec
 from stockline.functions import dates, metrics
 from stockline.functions.distance import METRICS, distance
-from stockline.operators import averages, clean, dims, frequency, promo, recency, trailing
+from stockline.operators import averages, clean, density, dims, frequency, promo, recency, trailing
 from stockline.session import fresh_folder
 from stockline.sources import files, tables
 from stockline.sources.store import FeatureStore, FeatureTable, repeated_keys
@@ -535,3 +535,43 @@ def stratified_split(spark, folder):
     rows = tables.sales(spark, folder).select(*tables.KEYS, spec.DATE, spec.SOLD)
     drawn, rest = clean.stratified_split(rows, 0.3, spec.SOLD, [*tables.KEYS, spec.DATE])
     return (drawn.withColumn("part", F.lit("sample")).unionByName(rest.withColumn("part", F.lit("rest"))))
+
+
+# --- density clustering ----------------------------------------------------
+
+EPS, MIN_PTS = 0.03, 5
+
+
+def hood(spark, folder) -> density.Neighbourhood:
+    return density.neighbourhood(tables.points(spark, folder), EPS, MIN_PTS, dim=2)
+
+
+@query("pairwise_distance")
+def pairwise_distance(spark, folder):
+    """Each vector and the one with the next id, under every metric."""
+    vectors = tables.table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    following = vectors.select((F.col("id") - 1).alias("id"), F.col("embedding").alias("following"))
+    return vectors.join(following, "id").select("id", *[
+        distance(F.col("embedding"), F.col("following"), m).alias(m.replace("-", "_")) for m in METRICS])
+
+
+@query("eps_neighbors")
+def eps_neighbors(spark, folder):
+    located = density.locate(tables.points(spark, folder), EPS, MIN_PTS, dim=2)
+    return density.eps_neighbours(located, EPS, 2).select("id", "other")
+
+
+@query("core_points")
+def core_points(spark, folder):
+    return density.core_points(hood(spark, folder))
+
+
+@query("dbscan_clusters")
+def dbscan_clusters(spark, folder):
+    return density.clusters(hood(spark, folder))
+
+
+@query("dbscan_noise")
+def dbscan_noise(spark, folder):
+    found = hood(spark, folder)
+    return density.noise(found, density.clusters(found))

@@ -418,5 +418,39 @@ def store_sql() -> dict[str, str]:
     }
 
 
+DENSITY = """WITH RECURSIVE
+p AS MATERIALIZED (
+  SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
+e AS MATERIALIZED (
+  SELECT a.id AS a, b.id AS b FROM p a JOIN p b
+  ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 0.03),
+core AS MATERIALIZED (SELECT a AS id FROM e GROUP BY a HAVING count(*) >= 5),
+ce AS MATERIALIZED (SELECT a, b FROM e WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+reach AS (SELECT id, id AS label FROM core UNION SELECT ce.b, reach.label FROM reach JOIN ce ON ce.a = reach.id),
+comp AS (SELECT id, min(label) AS component FROM reach GROUP BY 1),
+border AS (
+  SELECT e.a AS id, min(component) AS component FROM e JOIN comp ON e.b = comp.id
+  WHERE e.a NOT IN (SELECT id FROM core) GROUP BY 1),
+clustered AS (SELECT * FROM comp UNION ALL SELECT * FROM border)"""
+
+
+def density_sql() -> dict[str, str]:
+    side = "CAST(0.03 AS DOUBLE) / sqrt(2) * (1 - CAST(1e-9 AS DOUBLE))"
+    return {
+        "pairwise_distance": """WITH gaps AS (
+            SELECT a.vec_id AS id, unnest(CAST(a.embedding AS DOUBLE[])) - unnest(CAST(b.embedding AS DOUBLE[])) AS g
+            FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1)
+            SELECT id, round(sqrt(sum(g * g)), 5) AS euclidian, round(sum(abs(g)), 5) AS manhattan,
+            round(sum(g * g), 5) AS fast_euclidian FROM gaps GROUP BY id""",
+        "eps_neighbors": f"""{DENSITY},
+            cells AS (SELECT *, count(*) OVER (PARTITION BY floor(x / ({side})), floor(y / ({side}))) AS n FROM p)
+            SELECT a AS id, b AS other FROM e JOIN cells ON a = id WHERE n < 5""",
+        "core_points": f"{DENSITY} SELECT id FROM core",
+        "dbscan_clusters": f"{DENSITY} SELECT id AS point, component FROM clustered",
+        "dbscan_noise": f"{DENSITY} SELECT id FROM p WHERE id NOT IN (SELECT id FROM clustered)",
+    }
+
+
 def oracle_queries() -> dict[str, str]:
-    return feature_sql() | cleaning_sql() | dimension_sql() | average_sql() | store_sql()
+    return (feature_sql() | cleaning_sql() | dimension_sql() | average_sql() | store_sql()
+            | density_sql())
