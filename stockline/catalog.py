@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stockline import spec
 from stockline.functions import dates, metrics
 from stockline.functions.distance import METRICS, distance
-from stockline.operators import averages, clean, density, dims, frequency, promo, recency, trailing
-from stockline.session import fresh_folder
+from stockline.operators import (
+    averages, clean, density, dims, embedding, frequency, model, promo, recency, trailing)
+from stockline.plans import baseline
+from stockline.plans.score import scoring_rows
+from stockline.session import durable, fresh_folder
 from stockline.sources import files, tables
 from stockline.sources.store import FeatureStore, FeatureTable, repeated_keys
 from stockline.spec import RecencySpec, TrailingSpec
@@ -508,7 +511,6 @@ def key_uniqueness(spark, folder):
 
 @query("scoring_day_rows")
 def scoring_day_rows(spark, folder):
-    from stockline.plans.score import scoring_rows
     rows = tables.sales(spark, folder).select(*tables.KEYS, spec.DATE, spec.QUANTITY)
     return scoring_rows(rows, "2001-10-27")
 
@@ -575,3 +577,114 @@ def dbscan_clusters(spark, folder):
 def dbscan_noise(spark, folder):
     found = hood(spark, folder)
     return density.noise(found, density.clusters(found))
+
+
+# --- models ----------------------------------------------------------------
+
+ML_CATEGORIES = ["LocationCluster", "StoreType", "ProvinceEN", "DistrictEN", spec.CATEGORY_1, spec.CATEGORY_2]
+ML_NUMBERS = ["avgPriceDis", "avgPrice", "supPrice", "DayOfMonth", "DayOfWeek", "Quarter", "MonthQuarter",
+              "Month", "WeekOfYear", "latitude", "longitude", "revenue", "discount", "percentage_discount",
+              "YearOpened", "MonthOpened"]
+ML_TRAILING = [TRAILING["mc"], TRAILING["cat_lv2"]]
+ML_RECENCY = [RECENCY["cat_lv2_br"]]
+
+
+@query("string_index")
+def string_index(spark, folder):
+    rows = tables.sales_for(spark, folder, (spec.CATEGORY_2,)).select(*tables.KEYS, spec.DATE, spec.CATEGORY_2)
+    return model.string_indexer([spec.CATEGORY_2]).fit(rows).transform(rows)
+
+
+def model_vectors(spark, folder) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Development and out-of-time rows with basic, trailing and recency features."""
+    sides = tables.dimensions(spark, folder)
+    rows = tables.with_supply_price(tables.sales(spark, folder), folder)
+    wide = (dims.with_location(rows, sides.locations)
+            .transform(dates.with_calendar)
+            .transform(dims.with_category, sides.categories, sides.category_groups)
+            .transform(dims.with_store_cluster, sides.stores)
+            .transform(dims.with_price_features)
+            .transform(dims.with_lat_long, sides.lat_long))
+    wide = durable(wide)
+    numbers, joined = list(ML_NUMBERS), wide
+    for group in ML_TRAILING:
+        joined = joined.join(trailing.trailing_features(wide, group), [*group.group_cols, spec.DATE], "left")
+        numbers += group.columns()
+    for group in ML_RECENCY:
+        joined = joined.join(recency.recency_features(wide, group), [*group.group_cols, spec.DATE], "left")
+        numbers += group.columns()
+    filled = durable(clean.fill_strings(clean.fill_numbers(joined, numbers), ML_CATEGORIES))
+    dev, oot = clean.split_by_month(filled, tables.START_DEV, tables.START_OOT, tables.END)
+    return dev, oot, numbers
+
+
+def forest(spark, folder) -> tuple[DataFrame, object]:
+    dev, oot, numbers = model_vectors(spark, folder)
+    transforms = model.fit_transforms(dev, ML_CATEGORIES, numbers, one_hot=True)
+    fitted = model.fit_regressor(transforms.transform(dev), numTrees=10, maxDepth=4, seed=7)
+    return fitted.transform(transforms.transform(oot)), fitted
+
+
+@query("rf_forecast")
+def rf_forecast(spark, folder):
+    scored, _ = forest(spark, folder)
+    return scored.select(*tables.KEYS, spec.DATE, spec.QUANTITY, "prediction")
+
+
+@query("feature_importance")
+def feature_importance(spark, folder):
+    return model.feature_importance(*forest(spark, folder))
+
+
+@query("gbt_forecast")
+def gbt_forecast(spark, folder):
+    rows = dates.with_calendar(tables.sales(spark, folder)).withColumns({
+        c: F.col(c).cast("string") for c in (spec.ITEM, spec.STORE)})
+    predicted, _ = baseline.boosted_baseline(
+        rows, fresh_folder(spark, "gbt"), tables.START_OOT, maxIter=3, maxDepth=3, seed=7)
+    return predicted.select(*tables.KEYS, spec.DATE, spec.QUANTITY, "prediction")
+
+
+# --- embeddings ------------------------------------------------------------
+
+PROMO_WEIGHTS = {"RF_A": [0.5, -1.25], "RF_R": [1.5, 0.25], "LS_F": [-0.75, 2.0]}
+
+
+def made_vectors(spark, folder) -> DataFrame:
+    """Vectors of the brands and of six weekdays, derived from the tables."""
+    number = F.regexp_extract("p_brand", "([0-9]+)$", 1).cast("double")
+    brands = tables.table(spark, folder, "part").select("p_brand").distinct().select(
+        F.lit(spec.CATEGORY_2).alias("column"), F.col("p_brand").alias("category"),
+        F.array(number / 2, -number / 4, F.lit(1.0)).alias("vector"))
+    day = F.dayofweek(F.col("l_shipdate").cast("date"))
+    days = (tables.table(spark, folder, "lineitem").select(day.alias("d")).distinct().filter("d < 7")
+            .select(F.lit("DayOfWeek").alias("column"), F.col("d").cast("string").alias("category"),
+                    F.array(F.col("d") * 1.5, F.col("d") * -0.5).alias("vector")))
+    return brands.unionByName(days)
+
+
+@query("embedding_lookup")
+def embedding_lookup(spark, folder):
+    rows = tables.sales_for(spark, folder, (spec.CATEGORY_2, "DayOfWeek")).select(
+        *tables.KEYS, spec.DATE, spec.CATEGORY_2, "DayOfWeek")
+    return embedding.with_category_embeddings(
+        rows, made_vectors(spark, folder), {spec.CATEGORY_2: 3, "DayOfWeek": 2})
+
+
+@query("promo_embedding")
+def promo_embedding(spark, folder):
+    rows = tables.sales(spark, folder).select(*tables.KEYS, spec.DATE, spec.PROMOTION)
+    flagged = promo.with_promo_flags(rows, list(PROMO_WEIGHTS))
+    return embedding.with_promo_embedding(flagged, PROMO_WEIGHTS)
+
+
+@query("embedding_vectors")
+def embedding_vectors(spark, folder):
+    """Vectors learned from categories, promotion flags and prices."""
+    rows = tables.sales_for(spark, folder, (spec.CATEGORY_2, "DistrictEN", "DayOfWeek"))
+    flagged = promo.with_promo_flags(rows, FLAGS)
+    categories, numbers = [spec.CATEGORY_2, "DistrictEN", "DayOfWeek"], ["Month", "avgPriceDis", "avgPrice"]
+    clean_rows = durable(embedding.clean_for_embedding(flagged, categories, numbers, FLAGS).select(
+        *categories, *numbers, *FLAGS, spec.QUANTITY))
+    vectors, _ = embedding.train_embeddings(clean_rows, categories, FLAGS, numbers, size=4, maxIter=5, seed=7)
+    return vectors.categories

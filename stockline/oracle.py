@@ -451,6 +451,29 @@ def density_sql() -> dict[str, str]:
     }
 
 
+def model_sql() -> dict[str, str]:
+    number = "CAST(regexp_extract(product_cat_lv2, '([0-9]+)$', 1) AS DOUBLE)"
+    weekday = "CASE WHEN DayOfWeek < 7 THEN DayOfWeek * {} ELSE 0 END"
+    weights = {"RF_A": (0.5, -1.25), "RF_R": (1.5, 0.25), "LS_F": (-0.75, 2.0)}
+    flags = ", ".join(f"{flag_sql(c)} AS {c}" for c in weights)
+    sums = ", ".join(
+        "CAST(" + " + ".join(f"{c} * ({w[i]})" for c, w in weights.items()) + f" AS DOUBLE) AS promo_embed{i}"
+        for i in range(2))
+    return {
+        "string_index": f"""WITH {FULL}, ranked AS (
+            SELECT product_cat_lv2, row_number() OVER (ORDER BY count(*) DESC, product_cat_lv2) - 1 AS place
+            FROM sales GROUP BY 1)
+            SELECT {KEYS}, "Date", product_cat_lv2, CAST(place AS DOUBLE) AS product_cat_lv2_idx
+            FROM sales JOIN ranked USING (product_cat_lv2)""",
+        "embedding_lookup": f"""WITH {FULL} SELECT {KEYS}, "Date", product_cat_lv2, DayOfWeek,
+            {number} / 2 AS product_cat_lv2_embed0, -{number} / 4 AS product_cat_lv2_embed1,
+            CAST(1 AS DOUBLE) AS product_cat_lv2_embed2, CAST({weekday.format(1.5)} AS DOUBLE) AS DayOfWeek_embed0,
+            CAST({weekday.format(-0.5)} AS DOUBLE) AS DayOfWeek_embed1 FROM sales""",
+        "promo_embedding": f"""WITH {FULL}, flagged AS (SELECT {KEYS}, "Date", {flags} FROM base)
+            SELECT *, {sums} FROM flagged""",
+    }
+
+
 def oracle_queries() -> dict[str, str]:
     return (feature_sql() | cleaning_sql() | dimension_sql() | average_sql() | store_sql()
-            | density_sql())
+            | density_sql() | model_sql())
