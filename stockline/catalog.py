@@ -137,7 +137,8 @@ def group_day_flag(spark, folder):
 
 @query("last_sell_date")
 def last_sell_date(spark, folder):
-    return recency.with_last_sale(recency.group_day_flags(fact(spark, folder, RUNS), RUNS), RUNS)
+    daily = recency.group_day_flags(fact(spark, folder, RUNS), RUNS)
+    return recency.with_last_sale(daily, RUNS).select(*daily.columns, "last_sell_date")
 
 
 @query("zero_consc")

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from stockline.operators.trailing import attach_to_rows, days_window, history_slice, output_slice
+from stockline.operators.trailing import (
+    attach_to_rows, days_window, history_slice, output_slice, with_day_number)
 from stockline.spec import RecencySpec
 
 
@@ -17,9 +18,9 @@ def group_day_flags(df: DataFrame, spec: RecencySpec) -> DataFrame:
 
 def with_last_sale(daily: DataFrame, spec: RecencySpec) -> DataFrame:
     """Day of the latest sale that the lag leaves visible, within the longest gap."""
-    frame = days_window(spec.group_cols, spec.date, spec.longest + spec.lag, 1 + spec.lag)
+    frame = days_window(spec.group_cols, spec.longest + spec.lag, 1 + spec.lag)
     sale_day = F.when(F.col(spec.flag) == 1, F.col(spec.date))
-    return daily.select("*", F.max(sale_day).over(frame).alias("last_sell_date"))
+    return with_day_number(daily, spec.date).select("*", F.max(sale_day).over(frame).alias("last_sell_date"))
 
 
 def with_run(df: DataFrame, spec: RecencySpec) -> DataFrame:
@@ -31,7 +32,7 @@ def with_run(df: DataFrame, spec: RecencySpec) -> DataFrame:
 def with_longest_runs(df: DataFrame, spec: RecencySpec) -> DataFrame:
     return df.select("*", *[
         F.max(spec.run_column)
-        .over(days_window(spec.group_cols, spec.date, days + spec.lag + 1, spec.lag + 1))
+        .over(days_window(spec.group_cols, days + spec.lag + 1, spec.lag + 1))
         .alias(spec.max_column(days))
         for days in spec.horizons])
 

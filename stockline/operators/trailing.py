@@ -20,15 +20,25 @@ from stockline import spec as names
 from stockline.functions.dates import as_date, shift_days
 from stockline.spec import TrailingSpec
 
+DAY = "__day"
 
-def days_window(group_cols: Sequence[str], date: str, first: int, last: int) -> WindowSpec:
+
+def with_day_number(daily: DataFrame, date: str) -> DataFrame:
+    """The date as a number, as a column of its own.
+
+    Windows that order by the same column, not by equal expressions, share
+    one sort.
+    """
+    return daily.withColumn(DAY, F.unix_date(date))
+
+
+def days_window(group_cols: Sequence[str], first: int, last: int) -> WindowSpec:
     """Frame from ``first`` to ``last`` days before the row."""
-    return (Window.partitionBy(*group_cols).orderBy(F.unix_date(F.col(date)))
-            .rangeBetween(-first, -last))
+    return Window.partitionBy(*group_cols).orderBy(DAY).rangeBetween(-first, -last)
 
 
 def trailing_window(spec: TrailingSpec, days: int) -> WindowSpec:
-    return days_window(spec.group_cols, spec.date, days + spec.lag + 1, spec.lag + 1)
+    return days_window(spec.group_cols, days + spec.lag + 1, spec.lag + 1)
 
 
 def history_slice(df: DataFrame, start, days: int, date: str) -> DataFrame:
@@ -63,7 +73,7 @@ def with_sums(daily: DataFrame, spec: TrailingSpec) -> DataFrame:
         sums[f"count_sum_{days}d"] = F.sum("count").over(frame)
         for m in spec.measures:
             sums[spec.column(m, "sum", days)] = F.sum(m).over(frame)
-    return daily.select("*", *[c.alias(n) for n, c in sums.items()])
+    return with_day_number(daily, spec.date).select("*", *[c.alias(n) for n, c in sums.items()])
 
 
 def with_averages(df: DataFrame, spec: TrailingSpec) -> DataFrame:
