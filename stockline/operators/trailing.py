@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from stockline import spec as names
 from stockline.functions.dates import as_date, shift_days
@@ -64,16 +64,68 @@ def group_days(df: DataFrame, spec: TrailingSpec) -> DataFrame:
 
 
 
+def _running(column: str, group_cols: Sequence[str], upto: int) -> tuple[Column, Column]:
+    """Sum and count of a column over all days up to ``upto`` days before the row."""
+    frame = (Window.partitionBy(*group_cols).orderBy(DAY)
+             .rangeBetween(Window.unboundedPreceding, -upto))
+    return F.sum(column).over(frame), F.count(column).over(frame)
+
+
+def exact_window_sums(daily: DataFrame, spec: TrailingSpec, outputs: dict[str, str]) -> DataFrame:
+    """Trailing sums of integers and decimals, as differences of running sums.
+
+    ``outputs`` maps a column to the name of its sum, with ``{}`` for the
+    days. A running sum costs one addition per row whatever the horizon; the
+    difference is free of rounding because the type is exact.
+    """
+    edges = sorted({spec.lag + 1, *[days + spec.lag + 2 for days in spec.horizons]})
+    running = []
+    for c in outputs:
+        for k in edges:
+            total, known = _running(c, spec.group_cols, k)
+            running += [F.coalesce(total, F.lit(0)).alias(f"__sum_{c}_{k}"), known.alias(f"__n_{c}_{k}")]
+
+    def between(c: str, days: int) -> Column:
+        near, far = spec.lag + 1, days + spec.lag + 2
+        known = F.col(f"__n_{c}_{near}") - F.col(f"__n_{c}_{far}")
+        return F.when(known > 0, F.col(f"__sum_{c}_{near}") - F.col(f"__sum_{c}_{far}"))
+
+    return daily.select("*", *running).select(*daily.columns, *[
+        between(c, days).alias(name.format(days)) for c, name in outputs.items() for days in spec.horizons])
+
+
+def float_window_sums(daily: DataFrame, spec: TrailingSpec, outputs: dict[str, str]) -> DataFrame:
+    """Trailing sums of floating-point columns.
+
+    Running sums would leave rounding residue, so the days are added up; the
+    horizons are cut into adjoining pieces and no day is added twice.
+    """
+    horizons = sorted(spec.horizons)
+    pieces, near = [], spec.lag + 1
+    for days in horizons:
+        far = days + spec.lag + 1
+        pieces += [F.sum(c).over(days_window(spec.group_cols, far, near)).alias(f"__part_{c}_{days}")
+                   for c in outputs]
+        near = far + 1
+    sums = {}
+    for c, name in outputs.items():
+        total = None
+        for days in horizons:
+            part = F.col(f"__part_{c}_{days}")
+            total = part if total is None else F.coalesce(total + part, total, part)
+            sums[name.format(days)] = total
+    return daily.select("*", *pieces).select(*daily.columns, *[t.alias(n) for n, t in sums.items()])
+
+
 def with_sums(daily: DataFrame, spec: TrailingSpec) -> DataFrame:
     """Trailing sums of the measures, of the sold flag and of the row count."""
-    sums = {}
-    for days in spec.horizons:
-        frame = trailing_window(spec, days)
-        sums[f"label_sum_{days}d"] = F.sum("label").over(frame)
-        sums[f"count_sum_{days}d"] = F.sum("count").over(frame)
-        for m in spec.measures:
-            sums[spec.column(m, "sum", days)] = F.sum(m).over(frame)
-    return with_day_number(daily, spec.date).select("*", *[c.alias(n) for n, c in sums.items()])
+    names = {m: spec.column(m, "sum", "{}") for m in spec.measures}
+    names |= {"label": "label_sum_{}d", "count": "count_sum_{}d"}
+    floats = {f.name for f in daily.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    numbered = with_day_number(daily, spec.date)
+    exact = exact_window_sums(numbered, spec, {c: n for c, n in names.items() if c not in floats})
+    rest = {c: n for c, n in names.items() if c in floats}
+    return float_window_sums(exact, spec, rest) if rest else exact
 
 
 def with_averages(df: DataFrame, spec: TrailingSpec) -> DataFrame:
