@@ -57,7 +57,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node")
         if mark == before or mark[0] == 0:
             break
         before = mark
-        current = durable(_tidy(_small_star(_tidy(_large_star(current)))))
+        current = durable(_tidy(_small_star(_large_star(current))))
     roots = current.groupBy(F.col("u").alias(node)).agg(F.min("v").alias("component"))
     return (nodes.select(node).join(roots, node, "left")
             .select(node, F.coalesce("component", node).alias("component")))

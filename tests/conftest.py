@@ -12,7 +12,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[8]").appName("stockline-tests")
-               .config("spark.sql.shuffle.partitions", "4")
+               .config("spark.sql.shuffle.partitions", "2")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
