@@ -687,5 +687,5 @@ def embedding_vectors(spark, folder):
     categories, numbers = [spec.CATEGORY_2, "DistrictEN", "DayOfWeek"], ["Month", "avgPriceDis", "avgPrice"]
     clean_rows = durable(embedding.clean_for_embedding(flagged, categories, numbers, FLAGS).select(
         *categories, *numbers, *FLAGS, spec.QUANTITY))
-    vectors, _ = embedding.train_embeddings(clean_rows, categories, FLAGS, numbers, size=4, maxIter=5, seed=7)
+    vectors, _ = embedding.train_embeddings(clean_rows, categories, FLAGS, numbers, size=4, maxIter=20, stepSize=0.1, seed=7)
     return vectors.categories

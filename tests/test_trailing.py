@@ -114,26 +114,44 @@ def test_ratio_and_column_count(spark):
     assert len(full.columns()) == len(set(full.columns())) == 44
 
 
-@pytest.mark.parametrize("days_short,same", [(0, True), (1, False)])
-def test_history_slice_is_exact_and_tight(spark, small, days_short, same):
+def test_history_slice_is_exact_and_tight(spark):
     """The sliced history gives the full result; one day less does not."""
+    group = one_measure(horizons=(20,), ratios=(), lag=3)
+    reach = group.history_days()
+    assert reach == 2 * (20 + 3 + 1)
+    start = 200
+    rows = [("a", start - reach, 7, 1), ("a", start - reach // 2, 3, 1), ("a", start, 1, 1)]
+    df = series(spark, rows)
+    first = ORIGIN + dt.timedelta(days=start)
+
+    def on_first_day(source):
+        return trailing.trailing_features(source, group).filter(F.col("Date") == first).first()
+
+    def seen(days):
+        return on_first_day(trailing.history_slice(df, first, days, "Date"))
+
+    assert seen(reach) == on_first_day(df)
+    assert seen(reach - 1) != on_first_day(df)
+
+
+def test_history_slice_on_sales(spark, small):
     group = TrailingSpec("cat_lv2", (spec.CATEGORY_2,), measures=(spec.QUANTITY,), horizons=(90,), ratios=())
     fact = tables.sales_for(spark, small, group.group_cols)
-    start = dt.date(1999, 1, 1)
-    end = dt.date(1999, 6, 30)
-
-    full = trailing.output_slice(trailing.trailing_features(fact, group), start, end, spec.DATE)
-    fewer = group.history_days() - days_short
-    recent = trailing.history_slice(fact, start, fewer, spec.DATE)
-    cut = trailing.output_slice(trailing.trailing_features(recent, group), start, end, spec.DATE)
-    if days_short:
-        # the earliest needed day matters only if something was sold on it
-        assert fewer == 191
-    else:
-        assert fewer == 192
-        rounded = [F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in full.dtypes]
-        assert full.select(rounded).exceptAll(cut.select(rounded)).isEmpty()
-        assert full.count() == cut.count()
+    period = ("1999-01-01", "1999-03-31")
+    full = trailing.output_slice(trailing.trailing_features(fact, group), *period, spec.DATE)
+    cut = trailing.trailing_features(fact, group, *period)
+    digits = [F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in full.dtypes]
+    assert full.select(digits).exceptAll(cut.select(digits)).isEmpty() and full.count() == cut.count() > 0
+
+
+def test_exact_and_float_sums_agree(spark, small):
+    group = TrailingSpec("br", (spec.STORE,), measures=(spec.NET_SALE,), horizons=(60, 180))
+    fact = tables.sales(spark, small)
+    loose = fact.withColumn(spec.NET_SALE, F.col(spec.NET_SALE).cast("double"))
+    names = [F.round(group.column(spec.NET_SALE, "sum", d), 2) for d in group.horizons]
+    a = trailing.trailing_features(fact, group).select(spec.STORE, spec.DATE, *names)
+    b = trailing.trailing_features(loose, group).select(spec.STORE, spec.DATE, *names)
+    assert a.exceptAll(b).isEmpty() and a.count() == b.count()
 
 
 def test_recency_history_slice(spark, small):
