@@ -561,7 +561,7 @@ def pairwise_distance(spark, folder):
 @query("eps_neighbors")
 def eps_neighbors(spark, folder):
     located = density.locate(tables.points(spark, folder), EPS, MIN_PTS, dim=2)
-    return density.eps_neighbours(located, EPS, 2).select("id", "other")
+    return density.eps_neighbours(located, EPS, (0, 1)).select("id", "other")
 
 
 @query("core_points")

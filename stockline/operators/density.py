@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -26,7 +27,8 @@ from stockline.functions.distance import EUCLIDEAN, MANHATTAN, exact_distance, r
 from stockline.operators.components import connected_components
 from stockline.session import durable
 
-# Searching uses at most this many coordinates; distances use all of them.
+# Searching uses at most this many coordinates, those that spread most;
+# distances use all of them.
 SEARCH_DIMS = 3
 # Boxes are cut to a quarter per step; what is open after the last step is
 # settled on the points themselves.
@@ -49,6 +51,7 @@ class Neighbourhood:
     eps: float
     metric: str
     dim: int
+    axes: tuple[int, ...]
 
     def core_ids(self) -> DataFrame:
         """Core points outside dense cells."""
@@ -61,8 +64,8 @@ def cell_side(eps: float, dim: int, metric: str) -> float:
     return eps / (dim if metric == MANHATTAN else math.sqrt(dim)) * (1 - 1e-9)
 
 
-def _grid(value: Column, side: float, dims: int | None = None) -> Column:
-    part = F.slice(value, 1, dims) if dims else value
+def _grid(value: Column, side: float, axes: Sequence[int] | None = None) -> Column:
+    part = value if axes is None else F.array(*[value[i] for i in axes])
     return F.transform(part, lambda x: F.floor(x / F.lit(side)))
 
 
@@ -73,8 +76,13 @@ def _around(bucket: Column, dims: int) -> Column:
     return F.explode(F.transform(steps, lambda step: F.zip_with(bucket, step, lambda a, b: a + b)))
 
 
-def _search_dims(dim: int) -> int:
-    return min(dim, SEARCH_DIMS)
+def search_axes(located: DataFrame, dim: int) -> tuple[int, ...]:
+    """The coordinates to search on: all, or the most spread ones if there are many."""
+    if dim <= SEARCH_DIMS:
+        return tuple(range(dim))
+    spread = located.agg(*[F.var_pop(F.col("value")[i]) for i in range(dim)]).first()
+    widest = sorted(range(dim), key=lambda i: (-(spread[i] or 0.0), i))
+    return tuple(sorted(widest[:SEARCH_DIMS]))
 
 
 def locate(points: DataFrame, eps: float, min_pts: int, metric: str = EUCLIDEAN, dim: int | None = None,
@@ -90,34 +98,34 @@ def locate(points: DataFrame, eps: float, min_pts: int, metric: str = EUCLIDEAN,
                     F.col("first").isNotNull().alias("dense")))
 
 
-def candidates(located: DataFrame, eps: float, dim: int) -> DataFrame:
+def candidates(located: DataFrame, eps: float, axes: Sequence[int]) -> DataFrame:
     """Points outside dense cells paired with all points of the buckets around."""
-    dims = _search_dims(dim)
-    bucket = _grid(F.col("value"), eps, dims)
+    bucket = _grid(F.col("value"), eps, axes)
     loose = located.filter(~F.col("dense")).select(
-        F.col("id"), F.col("value").alias("here"), _around(bucket, dims).alias("bucket"))
+        F.col("id"), F.col("value").alias("here"), _around(bucket, len(axes)).alias("bucket"))
     others = located.select(F.col("id").alias("other"), "node", "dense", F.col("value").alias("there"),
                             bucket.alias("bucket"))
     return loose.join(others, "bucket")
 
 
-def eps_neighbours(located: DataFrame, eps: float, dim: int, metric: str = EUCLIDEAN) -> DataFrame:
+def eps_neighbours(located: DataFrame, eps: float, axes: Sequence[int], metric: str = EUCLIDEAN) -> DataFrame:
     """``(id, other)`` within ``eps``, itself included, for points outside dense cells.
 
     Points of a dense cell are all within ``eps`` of each other by
     construction; listing their pairs would grow with the square of the cell.
     """
     close = exact_distance(F.col("here"), F.col("there"), metric) <= radius(eps, metric)
-    return candidates(located, eps, dim).filter(close).select("id", "other", "node", "dense")
+    return candidates(located, eps, axes).filter(close).select("id", "other", "node", "dense")
 
 
 def neighbourhood(points: DataFrame, eps: float, min_pts: int, metric: str = EUCLIDEAN,
                   dim: int | None = None, id_col: str = "id", value_col: str = "value") -> Neighbourhood:
     size = dim or points.select(F.size(value_col)).first()[0]
     located = durable(locate(points, eps, min_pts, metric, size, id_col, value_col))
-    near = (eps_neighbours(located, eps, size, metric)
+    axes = search_axes(located, size)
+    near = (eps_neighbours(located, eps, axes, metric)
             .groupBy("id", "node", "dense").agg(F.count(F.lit(1)).alias("hits")))
-    return Neighbourhood(located, durable(near), min_pts, eps, metric, size)
+    return Neighbourhood(located, durable(near), min_pts, eps, metric, size, axes)
 
 
 def core_points(hood: Neighbourhood) -> DataFrame:
@@ -161,11 +169,11 @@ def _renamed(boxes: DataFrame, side: str, *columns: str) -> DataFrame:
 
 def dense_links(hood: Neighbourhood) -> DataFrame:
     """``(u, v)``: dense cells with a point of one within ``eps`` of one of the other."""
-    dims, reach = _search_dims(hood.dim), 2 * hood.eps
+    reach = 2 * hood.eps
     inside = hood.points.filter("dense")
     boxes = durable(inside.groupBy("node").agg(*_box(hood.dim)))
-    bucket = _grid(F.col("lo"), reach, dims)
-    left = boxes.withColumn("bucket", _around(bucket, dims))
+    bucket = _grid(F.col("lo"), reach, hood.axes)
+    left = boxes.withColumn("bucket", _around(bucket, len(hood.axes)))
     right = boxes.withColumn("bucket", bucket)
     pairs = (_renamed(left, "a", "node", "lo", "hi", "bucket")
              .join(_renamed(right, "b", "node", "lo", "hi", "bucket"),

@@ -22,31 +22,33 @@ def flag_counts(df: DataFrame, columns: Sequence[str], code: str = "code", count
     return totals.select(F.inline(pairs))
 
 
-def running_total(df: DataFrame, order: Sequence[Column], value: str, out: str) -> DataFrame:
+def running_total(df: DataFrame, order: Sequence[Column], value: str, out: str,
+                  total: str | None = None) -> DataFrame:
     """Sum of ``value`` over all rows up to this one in a total ``order``.
 
     A window without partitions would put every row into one task. Here the
     rows are range-partitioned, each slice is summed on its own, and only the
     slice totals (one row per shuffle partition) are added up in one place.
-    The ranges are sampled, so they are written down before both uses.
+    The ranges are sampled, so they are written down before both uses. With
+    ``total`` the sum of all rows is added as a column of that name.
     """
     slices = durable(df.repartitionByRange(*order).withColumn("__slice", F.spark_partition_id()))
     before = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (slices.groupBy("__slice").agg(F.sum(value).alias("__total"))
-               .select("__slice", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__before")))
+               .select("__slice", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__before"),
+                       F.sum("__total").over(Window.partitionBy()).alias(total or "__all")))
     inside = (Window.partitionBy("__slice").orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (slices.join(F.broadcast(offsets), "__slice")
             .withColumn(out, F.col("__before") + F.sum(value).over(inside))
-            .drop("__slice", "__before"))
+            .drop("__slice", "__before", "__all"))
 
 
 def cumulative_share(counts: DataFrame, code: str = "code", count: str = "n") -> DataFrame:
     """Add ``cumsum`` and ``share`` in order of falling count, ties by name."""
-    ordered = running_total(counts, [F.col(count).desc(), F.col(code).asc()], count, "cumsum")
-    total = ordered.agg(F.sum(count).alias("__all"))
-    return (ordered.crossJoin(F.broadcast(total))
-            .withColumn("share", F.try_divide("cumsum", "__all")).drop("__all"))
+    order = [F.col(count).desc(), F.col(code).asc()]
+    ordered = running_total(counts, order, count, "cumsum", "__grand")
+    return ordered.withColumn("share", F.try_divide("cumsum", "__grand")).drop("__grand")
 
 
 def tied_cumulative_sum(df: DataFrame, value: str, out: str = "cumsum") -> DataFrame:

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Model
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorIndexer
+from pyspark.ml.feature import (
+    FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler, VectorIndexer)
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -48,18 +49,30 @@ def fit_regressor(train: DataFrame, regressor=RandomForestRegressor, features: s
 
 def baseline_pipeline(numbers: Sequence[str] = tuple(spec.BASELINE_NUMBERS),
                       strings: Sequence[str] = tuple(spec.BASELINE_STRINGS),
-                      label: str = spec.QUANTITY, regressor=GBTRegressor, **params) -> Pipeline:
+                      label: str = spec.QUANTITY, regressor=GBTRegressor,
+                      hashed: Sequence[str] = (), hash_size: int = 1 << 12, **params) -> Pipeline:
     """Index, one-hot encode, find small categoricals, assemble and boost.
 
-    Rows with a category unseen in training are skipped.
+    Rows with a category unseen in training are skipped. An index keeps every
+    label in the model; for identifiers too many for that, name them in
+    ``hashed``: they share ``hash_size`` positions instead.
     """
     index, one_hot = "_StringIndexer", "_OneHotEncoder"
-    features = "VectorAssembler_features"
+    features, hashes = "VectorAssembler_features", "hashed_features"
+    named = [s for s in strings if s not in hashed]
+    stages, vectors = [], [f"{s}_VectorIndexer" for s in named]
+    if named:
+        stages += [
+            string_indexer(named, "skip", index),
+            OneHotEncoder(inputCols=[s + index for s in named], outputCols=[s + one_hot for s in named]),
+            *[VectorIndexer(inputCol=s + one_hot, outputCol=s + "_VectorIndexer", maxCategories=10) for s in named]]
+    if hashed:
+        stages.append(FeatureHasher(inputCols=list(hashed), outputCol=hashes, numFeatures=hash_size,
+                                    categoricalCols=list(hashed)))
+        vectors.append(hashes)
     return Pipeline(stages=[
-        string_indexer(strings, "skip", index),
-        OneHotEncoder(inputCols=[s + index for s in strings], outputCols=[s + one_hot for s in strings]),
-        *[VectorIndexer(inputCol=s + one_hot, outputCol=s + "_VectorIndexer", maxCategories=10) for s in strings],
-        VectorAssembler(inputCols=[*numbers, *[s + "_VectorIndexer" for s in strings]], outputCol=features),
+        *stages,
+        VectorAssembler(inputCols=[*numbers, *vectors], outputCol=features),
         regressor(labelCol=label, featuresCol=features, predictionCol=PREDICTION, **params),
     ])
 

@@ -11,9 +11,10 @@ from stockline.operators.trailing import (
 from stockline.spec import RecencySpec
 
 
-def group_day_flags(df: DataFrame, spec: RecencySpec) -> DataFrame:
+def group_day_flags(df: DataFrame, spec: RecencySpec, rolled: bool = False) -> DataFrame:
     """Whether anything of the group was sold on the day."""
-    return df.groupBy(*spec.group_cols, spec.date).agg(F.max(spec.flag).alias(spec.flag))
+    source = "flag" if rolled else spec.flag
+    return df.groupBy(*spec.group_cols, spec.date).agg(F.max(source).alias(spec.flag))
 
 
 def with_last_sale(daily: DataFrame, spec: RecencySpec) -> DataFrame:
@@ -37,10 +38,11 @@ def with_longest_runs(df: DataFrame, spec: RecencySpec) -> DataFrame:
         for days in spec.horizons])
 
 
-def recency_features(df: DataFrame, spec: RecencySpec, start=None, end=None) -> DataFrame:
+def recency_features(df: DataFrame, spec: RecencySpec, start=None, end=None,
+                     rolled: bool = False) -> DataFrame:
     """All recency columns of a grouping set, one row per group and day."""
     recent = history_slice(df, start, spec.history_days(), spec.date)
-    full = (group_day_flags(recent, spec)
+    full = (group_day_flags(recent, spec, rolled)
             .transform(with_last_sale, spec)
             .transform(with_run, spec)
             .transform(with_longest_runs, spec))

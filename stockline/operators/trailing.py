@@ -52,6 +52,20 @@ def output_slice(df: DataFrame, start, end, date: str) -> DataFrame:
     return df if end is None else df.filter(F.col(date) <= F.lit(as_date(end)))
 
 
+def roll_up(df: DataFrame, columns: Sequence[str], measures: Sequence[str], sold: str = names.SOLD,
+            date: str = names.DATE) -> DataFrame:
+    """Daily totals at a grain that several grouping sets can be derived from."""
+    return df.groupBy(*columns, date).agg(
+        *[F.sum(m).alias(m) for m in measures],
+        F.sum(sold).alias("label"), F.count(sold).alias("count"), F.max(sold).alias("flag"))
+
+
+def regroup_days(rolled: DataFrame, spec: TrailingSpec) -> DataFrame:
+    """As ``group_days``, from a roll-up that holds the group columns."""
+    return rolled.groupBy(*spec.group_cols, spec.date).agg(
+        *[F.sum(c).alias(c) for c in (*spec.measures, "label", "count")])
+
+
 def group_days(df: DataFrame, spec: TrailingSpec) -> DataFrame:
     """Sum of each measure, of the sold flag and its count, per group and day.
 
@@ -179,13 +193,15 @@ def with_sum_ratios(df: DataFrame, spec: TrailingSpec) -> DataFrame:
         for m in spec.measures for a, b in spec.ratios])
 
 
-def trailing_features(df: DataFrame, spec: TrailingSpec, start=None, end=None) -> DataFrame:
+def trailing_features(df: DataFrame, spec: TrailingSpec, start=None, end=None,
+                      rolled: bool = False) -> DataFrame:
     """All trailing columns of a grouping set, one row per group and day.
 
     With ``start`` only the history that can reach the asked days is read.
+    ``rolled`` input comes from ``roll_up``.
     """
     recent = history_slice(df, start, spec.history_days(), spec.date)
-    full = (group_days(recent, spec)
+    full = ((regroup_days if rolled else group_days)(recent, spec)
             .transform(with_sums, spec)
             .transform(with_averages, spec)
             .transform(with_deviations, spec)

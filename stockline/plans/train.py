@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stockline import spec
 from stockline.functions import metrics
-from stockline.functions.dates import with_month_end
+from stockline.functions.dates import shift_days, with_month_end
 from stockline.operators import clean, dims, model, recency, trailing
 from stockline.sources.files import export_csv, overwrite_table, path_exists
 from stockline.sources.store import FeatureStore, FeatureTable, SOFT_OVERWRITE
@@ -48,29 +48,45 @@ def save_basic(sales: DataFrame, sides: dims.Dimensions, store: FeatureStore, st
     return clean.with_sold_flag(store.read(BASIC))
 
 
+def save_rollups(base: DataFrame, store: FeatureStore, plan: FeaturePlan, start, end) -> dict:
+    """Daily totals shared by the grouping sets, from one pass over the fact each.
+
+    They are rewritten on every run, for the days that the asked features can
+    reach back to.
+    """
+    first = shift_days(start, -plan.history_days())
+    rolled = {}
+    for name, columns in spec.ROLLUPS.items():
+        needed = [g for g in plan.trailing + plan.recency if set(g.group_cols) <= set(columns)]
+        if needed:
+            kept = [c for c in columns if any(c in g.group_cols for g in needed)]
+            store.save_feature(base, trailing.roll_up, name, first, end, True,
+                               columns=kept, measures=plan.measures())
+            rolled[frozenset(kept)] = store.read(name)
+    return rolled
+
+
 def save_features(base: DataFrame, sides: dims.Dimensions, store: FeatureStore, plan: FeaturePlan,
                   start, end, overwrite: bool) -> list[FeatureTable]:
     """One table per feature set, trailing and recency at the grain of group and day."""
     store.save_feature(base, dims.lat_long_feature, LAT_LONG, start, end, overwrite,
                        lat_long=sides.lat_long, keys=plan.keys)
     saved = [FeatureTable(LAT_LONG, tuple(plan.keys))]
-    for group in plan.trailing:
-        name = f"ts_agg_{group.name}_ft"
-        store.save_feature(base, _sliced(trailing.trailing_features, group, start, end),
-                           name, start, end, overwrite)
-        saved.append(FeatureTable(name, group.group_cols))
-    for group in plan.recency:
-        name = f"consc_{group.name}_ft"
-        store.save_feature(base, _sliced(recency.recency_features, group, start, end),
-                           name, start, end, overwrite)
-        saved.append(FeatureTable(name, group.group_cols))
+    wanted = [(f"ts_agg_{g.name}_ft", trailing.trailing_features, g) for g in plan.trailing]
+    wanted += [(f"consc_{g.name}_ft", recency.recency_features, g) for g in plan.recency]
+    saved += [FeatureTable(name, group.group_cols) for name, _, group in wanted]
+    due = [w for w in wanted if overwrite or not store.exists(w[0], start, end)]
+    rolled = save_rollups(base, store, plan, start, end) if due else {}
+    for name, feature, group in due:
+        source = next((t for columns, t in rolled.items() if columns >= set(group.group_cols)), None)
+
+        def compute(df: DataFrame, feature=feature, group=group, rolled=source is not None) -> DataFrame:
+            return feature(df, group, start, end, rolled)
+
+        store.save_feature(base if source is None else source, compute, name, start, end)
     return saved
 
 
-def _sliced(feature, group, start, end):
-    return lambda df: feature(df, group, start, end)
-
-
 def model_rows(wide: DataFrame, plan: FeaturePlan) -> DataFrame:
     """Model inputs without nulls; a promotion that never occurred is a column of zeros."""
     absent = {c: F.lit(0) for c in plan.promo_numbers if c not in wide.columns}

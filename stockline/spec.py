@@ -54,6 +54,13 @@ RECENCY_GROUPS = {
     "cat_lv2_br": (CATEGORY_2, "BranchCode"),
 }
 
+# Roll-ups per day that the grouping sets are derived from: each is read many
+# times in place of the fact.
+ROLLUPS = {
+    "daily_item_ft": (ITEM, "ProvinceEN", "DistrictEN", "DayOfWeek"),
+    "daily_category_ft": (CATEGORY_2, STORE, "ProvinceEN", "DistrictEN", "DayOfWeek"),
+}
+
 # --- Fixed values: model inputs --------------------------------------------
 BASIC_NUMBERS = [
     "avgPriceDis", "avgPrice", "supPrice", "DayOfMonth", "DayOfWeek", "Quarter",
@@ -183,3 +190,6 @@ class FeaturePlan:
 
     def history_days(self) -> int:
         return max(s.history_days() for s in self.trailing + self.recency)
+
+    def measures(self) -> list[str]:
+        return list(dict.fromkeys(m for s in self.trailing for m in s.measures))

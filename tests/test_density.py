@@ -68,7 +68,7 @@ def rings():
 def test_blobs(spark, eps):
     points = blobs()
     hood = check(spark, points, eps, 10)
-    pairs = density.candidates(hood.points, eps, 2).count()
+    pairs = density.candidates(hood.points, eps, hood.axes).count()
     assert pairs < {0.2: 149716, 0.3: 217624}[eps]
 
 
@@ -117,7 +117,7 @@ def test_hot_cell_needs_no_pairs(spark):
     spot = rng.normal(0, 0.01, (3000, 2))
     spread = rng.random((3000, 2)) * 100
     hood = density.neighbourhood(frame(spark, np.concatenate([spot, spread])), 0.5, 5)
-    pairs = density.candidates(hood.points, 0.5, 2).count()
+    pairs = density.candidates(hood.points, 0.5, hood.axes).count()
     assert pairs < 50_000
     sizes = density.clusters(hood).groupBy("component").count()
     assert sizes.agg(F.max("count")).first()[0] >= 3000

@@ -119,6 +119,14 @@ def test_boosted_baseline(spark, text_inputs):
     assert evaluation.first().percent_oos is not None
 
 
+def test_hashed_identifiers(spark, text_inputs):
+    rows = baseline.read_inputs(spark, *text_inputs)
+    predicted, _ = baseline.boosted_baseline(
+        rows, fresh_folder(spark, "gbt"), "2001-10-01", hashed=["MaterialCode", "BranchCode"], hash_size=64,
+        maxIter=1, maxDepth=2, seed=1)
+    assert predicted.count() == rows.filter("Date >= '2001-10-01'").count()
+
+
 def test_grouping_sets_equal_single_averages(spark, fact):
     rows = with_calendar(fact)
     every = averages.all_averages(rows)

@@ -145,7 +145,7 @@ def test_history_slice_on_sales(spark, small):
 
 
 def test_exact_and_float_sums_agree(spark, small):
-    group = TrailingSpec("br", (spec.STORE,), measures=(spec.NET_SALE,), horizons=(60, 180))
+    group = TrailingSpec("br", (spec.STORE,), measures=(spec.NET_SALE,), horizons=(60, 180), ratios=())
     fact = tables.sales(spark, small)
     loose = fact.withColumn(spec.NET_SALE, F.col(spec.NET_SALE).cast("double"))
     names = [F.round(group.column(spec.NET_SALE, "sum", d), 2) for d in group.horizons]
@@ -194,3 +194,17 @@ def test_group_days_combine_before_the_shuffle(spark, small):
     assert text.count("Exchange hashpartitioning") == 2
     assert text.count("partial_sum") >= 1
     assert text.count("Sort [") == 1
+
+
+def test_rollup_gives_the_same_features(spark, small):
+    wide = (spec.CATEGORY_2, "ProvinceEN", spec.STORE, "DayOfWeek")
+    fact = tables.sales_for(spark, small, wide)
+    rolled = trailing.roll_up(fact, wide, [spec.QUANTITY, spec.NET_SALE])
+    group = TrailingSpec("cat_lv2_dow", (spec.CATEGORY_2, "DayOfWeek"), horizons=(60,), ratios=())
+    digits = [F.round(c, 3).alias(c) for c in group.columns()]
+    a, b = (trailing.trailing_features(df, group, rolled=r).select(*group.group_cols, spec.DATE, *digits)
+            for df, r in ((fact, False), (rolled, True)))
+    assert a.exceptAll(b).isEmpty() and a.count() == b.count()
+    runs = RecencySpec("cat_lv2_br", (spec.CATEGORY_2, spec.STORE), horizons=(60,))
+    a, b = recency.recency_features(fact, runs), recency.recency_features(rolled, runs, rolled=True)
+    assert a.exceptAll(b).isEmpty() and a.count() == b.count()
