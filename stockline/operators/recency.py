@@ -41,7 +41,7 @@ def with_longest_runs(df: DataFrame, spec: RecencySpec) -> DataFrame:
 def recency_features(df: DataFrame, spec: RecencySpec, start=None, end=None,
                      rolled: bool = False) -> DataFrame:
     """All recency columns of a grouping set, one row per group and day."""
-    recent = history_slice(df, start, spec.history_days(), spec.date)
+    recent = history_slice(df, start, spec.history_days(), spec.date, end)
     full = (group_day_flags(recent, spec, rolled)
             .transform(with_last_sale, spec)
             .transform(with_run, spec)

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from stockline import spec as names
-from stockline.functions.dates import as_date, shift_days
+from stockline.functions.dates import as_date, month_end, shift_days
 from stockline.spec import TrailingSpec
 
 DAY = "__day"
@@ -41,9 +41,20 @@ def trailing_window(spec: TrailingSpec, days: int) -> WindowSpec:
     return days_window(spec.group_cols, days + spec.lag + 1, spec.lag + 1)
 
 
-def history_slice(df: DataFrame, start, days: int, date: str) -> DataFrame:
-    """Only the input that results from ``start`` on can depend on."""
-    return df if start is None else df.filter(F.col(date) >= F.lit(shift_days(start, -days)))
+def history_slice(df: DataFrame, start, days: int, date: str, end=None) -> DataFrame:
+    """Only the input that results from ``start`` to ``end`` can depend on.
+
+    A filter above a window stays above it, so the input is cut explicitly; a
+    month column, where there is one, lets the stored partitions prune.
+    """
+    def bounded(column: str, move) -> DataFrame:
+        cut = df
+        if start is not None:
+            cut = cut.filter(F.col(column) >= F.lit(move(shift_days(start, -days))))
+        return cut if end is None else cut.filter(F.col(column) <= F.lit(move(as_date(end))))
+
+    df = bounded(date, as_date)
+    return bounded(names.MONTH, month_end) if names.MONTH in df.columns else df
 
 
 def output_slice(df: DataFrame, start, end, date: str) -> DataFrame:
@@ -200,7 +211,7 @@ def trailing_features(df: DataFrame, spec: TrailingSpec, start=None, end=None,
     With ``start`` only the history that can reach the asked days is read.
     ``rolled`` input comes from ``roll_up``.
     """
-    recent = history_slice(df, start, spec.history_days(), spec.date)
+    recent = history_slice(df, start, spec.history_days(), spec.date, end)
     full = ((regroup_days if rolled else group_days)(recent, spec)
             .transform(with_sums, spec)
             .transform(with_averages, spec)

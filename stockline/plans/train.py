@@ -60,7 +60,7 @@ def save_rollups(base: DataFrame, store: FeatureStore, plan: FeaturePlan, start,
         needed = [g for g in plan.trailing + plan.recency if set(g.group_cols) <= set(columns)]
         if needed:
             kept = [c for c in columns if any(c in g.group_cols for g in needed)]
-            store.save_feature(base, trailing.roll_up, name, first, end, True,
+            store.save_feature(clean.in_period(base, first, end), trailing.roll_up, name, first, end, True,
                                columns=kept, measures=plan.measures())
             rolled[frozenset(kept)] = store.read(name)
     return rolled
@@ -113,7 +113,8 @@ def train(sales: DataFrame, sides: dims.Dimensions, store: FeatureStore, model_f
     kept = list(dict.fromkeys([*plan.keys, spec.ITEM, spec.STORE, spec.DATE, label, model.FEATURES]))
     for name, part in (("training_dataset", dev), ("testing_dataset", oot)):
         if overwrite_model or not path_exists(spark, f"{root}/{name}"):
-            overwrite_table(transforms.transform(part).select(*kept), f"{root}/{name}")
+            rows_written = overwrite_table(transforms.transform(part).select(*kept), f"{root}/{name}")
+            log.info("%s has %d rows", name, rows_written)
 
     model_path = f"{root}/saved_model"
     vectors = spark.read.parquet(f"{root}/training_dataset")

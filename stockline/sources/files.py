@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 # Schemas of the input files.
 SALES_SCHEMA = (
@@ -57,10 +57,16 @@ def read_category_groups(spark: SparkSession, path: str, category: str = "produc
 
 
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet",
-                    partition_by: str | None = None) -> None:
-    """Replace a table, schema included. ``path`` must not feed ``df``."""
-    writer = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
+                    partition_by: str | None = None) -> int:
+    """Replace a table, schema included, and report its rows.
+
+    The rows are counted while they are written. ``path`` must not feed ``df``.
+    """
+    seen = Observation()
+    writer = (df.observe(seen, F.count(F.lit(1)).alias("rows"))
+              .write.format(fmt).mode("overwrite").option("overwriteSchema", "true"))
     (writer.partitionBy(partition_by) if partition_by else writer).save(path)
+    return seen.get["rows"]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockline.session import fresh_folder
-from stockline.sources.files import export_csv, read_categories, read_category_groups, read_csv
+from stockline.sources.files import overwrite_table, export_csv, read_categories, read_category_groups, read_csv
 from stockline.sources.store import DuplicateKeys, FeatureStore, FeatureTable
 
 START, END = "2020-06-01", "2020-09-30"
@@ -133,3 +133,22 @@ def test_category_files(spark, tmp_path):
     assert item.asDict() == {"product_cat_lv2": "TEA, COFFEE", "MaterialCode": "17"}
     group = read_category_groups(spark, str(tmp_path / "groups.csv"), "my_category").first()
     assert group.asDict() == {"product_cat_lv2": "TEA, COFFEE", "product_cat_lv1": "beverages"}
+
+
+def test_overwrite_reports_rows(spark, facts):
+    path = fresh_folder(spark, "table")
+    assert overwrite_table(facts, path) == facts.count()
+    assert overwrite_table(facts.limit(2).select("x"), path) == 2
+    assert spark.read.parquet(path).columns == ["x"]
+
+
+def test_history_reads_only_the_months_it_needs(store, facts):
+    from stockline.operators.trailing import trailing_features
+    from stockline.spec import TrailingSpec
+    store.save_feature(facts.withColumn("label", F.lit(1)), keep, "ft", START, END)
+    group = TrailingSpec("item", ("item",), measures=("x",), horizons=(5,), ratios=(), lag=1)
+    late = trailing_features(store.read("ft"), group, "2020-09-10", "2020-09-30")
+    assert late.count() > 0
+    text = late._jdf.queryExecution().executedPlan().toString()
+    assert "Date_EOM" in text.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert "GreaterThanOrEqual(Date,2020-08-27)" in text
