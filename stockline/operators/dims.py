@@ -89,10 +89,14 @@ def with_price_features(df: DataFrame) -> DataFrame:
 
 
 def basic_features(df: DataFrame, dims: Dimensions, promo_cutoff: float = spec.PROMO_CUTOFF) -> DataFrame:
-    """Location, calendar, promotion, category, store and price columns."""
-    return (df.transform(with_location, dims.locations)
+    """Promotion, location, calendar, category, store and price columns.
+
+    Promotions come first: counting the codes then scans one column of the
+    fact and none of the joins.
+    """
+    return (df.transform(one_hot_promotion, promo_cutoff)
+            .transform(with_location, dims.locations)
             .transform(with_calendar)
-            .transform(one_hot_promotion, promo_cutoff)
             .transform(with_category, dims.categories, dims.category_groups)
             .transform(with_store_cluster, dims.stores)
             .transform(with_price_features))
