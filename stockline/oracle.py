@@ -198,8 +198,8 @@ STORES = """
 stores AS (
   SELECT s_suppkey AS BranchCode, CAST(1990 + s_suppkey % 20 AS INTEGER) AS YearOpened,
          CAST(1 + s_suppkey % 12 AS INTEGER) AS MonthOpened, 'cluster_' || (s_nationkey % 5) AS LocationCluster,
-         CASE WHEN s_acctbal < 0 THEN 'small' ELSE 'large' END AS StoreType
-  FROM supplier WHERE s_suppkey % 10 <> 0)"""
+         CASE WHEN s_acctbal < 5000 THEN 'small' ELSE 'large' END AS StoreType
+  FROM supplier WHERE s_acctbal >= 0)"""
 
 TRAILING = {n: TrailingSpec(n, g) for n, g in spec.TRAILING_GROUPS.items()}
 RECENCY = {n: RecencySpec(n, g) for n, g in spec.RECENCY_GROUPS.items()}
@@ -414,7 +414,7 @@ def store_sql() -> dict[str, str]:
             WHERE "Date" = DATE '2001-10-20'""",
         "csv_scan": f"""WITH {FULL} SELECT CAST(BranchCode AS VARCHAR) AS BranchCode,
             CAST(MaterialCode AS VARCHAR) AS MaterialCode, "Date", TotalQtySale, types FROM base""",
-        "anti_remainder": f"""WITH {FULL} SELECT {full_row}, label FROM base WHERE OrderKey % 10 >= 3""",
+        "anti_remainder": f"""WITH {FULL} SELECT {full_row}, label FROM base WHERE label <> 1""",
     }
 
 
