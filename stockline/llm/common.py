@@ -106,3 +106,11 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     for j in range(k):
         total = total * np.uint64(0xD6E8FEB86659FD93) + words[j:j + count]
     return mix(total)
+
+
+def small_batches(batches, most: int = 4 << 20):
+    """Arrow batches cut to pieces of at most ``most`` bytes, or one row where that alone is longer."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * most // max(batch.nbytes, most))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

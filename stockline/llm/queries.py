@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stockline.llm.decontaminate import find_passages
+from stockline.llm.token_counts import count_tokens
+from stockline.llm.bpe import encode_decode
 from stockline.llm.html_text import extract_text
 from stockline.llm.url_filter import Rule, judge_sql, judge_urls
 from stockline.llm.warc import read_warc, write_warc
@@ -31,6 +35,23 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 WARC_SQL = f"""
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
@@ -41,5 +62,9 @@ b AS (SELECT *, array_to_string(list_transform(range(8), lambda i: array_to_stri
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS NOT DISTINCT FROM first OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to FROM b"""
 
-QUERIES = {"op1_warc": op1_warc, "op2_html_text": op2_html_text, "op3_url_filter": op3_url_filter}
+QUERIES = {"op1_warc": op1_warc, "op2_html_text": op2_html_text, "op3_url_filter": op3_url_filter,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_token_counts": op5_token_counts,
+    "op10_bpe": op10_bpe,
+}
 ORACLE_SQL = {"op1_warc": WARC_SQL, "op3_url_filter": judge_sql(URL_RULES)}
