@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stockline.llm.decontaminate import find_passages
 from stockline.llm.token_counts import count_tokens
 from stockline.llm.bpe import encode_decode
+from stockline.llm.near_text import near_groups
 from stockline.llm.html_text import extract_text
 from stockline.llm.url_filter import Rule, judge_sql, judge_urls
 from stockline.llm.warc import read_warc, write_warc
@@ -52,6 +53,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"), shingle=2)
+
+
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 WARC_SQL = f"""
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
@@ -66,5 +71,6 @@ QUERIES = {"op1_warc": op1_warc, "op2_html_text": op2_html_text, "op3_url_filter
     "op4_decontaminate": op4_decontaminate,
     "op5_token_counts": op5_token_counts,
     "op10_bpe": op10_bpe,
+    "op9_near_text": op9_near_text,
 }
 ORACLE_SQL = {"op1_warc": WARC_SQL, "op3_url_filter": judge_sql(URL_RULES)}
