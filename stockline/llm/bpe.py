@@ -23,6 +23,7 @@ import functools
 import heapq
 import json
 import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ from stockline.llm.common import small_batches
 
 #: Encoded words that a task keeps at most; then it starts anew.
 KEPT_WORDS = 400_000
+#: From so many positions on, a pair is merged with array operations.
+AT_ONCE = 100
 
 
 def byte_letters() -> list[str]:
@@ -61,7 +64,8 @@ class Bpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         letters = byte_letters()
-        self.inner, self.last = [vocab[c] for c in letters], [vocab[c + end] for c in letters]
+        self._inner = np.array([vocab[c] for c in letters], np.int32)
+        self._last = np.array([vocab[c + end] for c in letters], np.int32)
         self.ranks: dict[tuple[int, int], int] = {}
         self.made: list[int] = []
         self.pairs: list[tuple[int, int]] = []
@@ -69,6 +73,16 @@ class Bpe:
             self.ranks.setdefault((vocab[a], vocab[b]), len(self.made))
             self.pairs.append((vocab[a], vocab[b]))
             self.made.append(vocab[a + b])
+        self._keys = np.array([a << 32 | b for a, b in self.ranks])
+        self._key_ranks = np.array(list(self.ranks.values()))
+        order = np.argsort(self._keys)
+        self._keys, self._key_ranks = self._keys[order], self._key_ranks[order]
+        # From this rank on, what a merge makes is only in pairs of higher ranks, so the order within a rank does not matter.
+        first_use: dict[int, int] = {}
+        for rank, pair in enumerate(self.pairs):
+            for part in pair:
+                first_use.setdefault(part, rank)
+        self.settled = 1 + max((rank for rank, token in enumerate(self.made) if first_use.get(token, len(self.made)) <= rank), default=-1)
         pattern = steps[0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}")
         self.find = regex.compile(pattern).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -91,28 +105,41 @@ class Bpe:
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of each word, all words at once."""
-        ranks, made, pairs, inner, last = self.ranks, self.made, self.pairs, self.inner, self.last
-        symbols: list[int] = []
-        begins: list[int] = []
+        if not words:
+            return []
+        ranks, made, pairs = self.ranks, self.made, self.pairs
+        coded = [w.encode("utf-8", "replace") for w in words]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        data = np.frombuffer(b"\0".join(coded) + b"\0", np.uint8)
+        stops = np.cumsum(sizes + 1) - 1  # one place between words, so that no pair reaches over
+        begun = self._inner[data]
+        begun[stops - 1] = self._last[data[stops - 1]]
+        begun[stops] = -1
+        # Numpy reads and writes the same memory as the loops below.
+        symbols, after, before = array("i", begun.tobytes()), array("i", range(1, len(data) + 1)), array("i", range(-1, len(data) - 1))
+        s, nxt, prv = (np.frombuffer(x, np.int32) for x in (symbols, after, before))
         index: dict[int, list[int]] = {}
-        for word in words:
-            data, first = word.encode("utf-8", "replace"), len(symbols)
-            begins.append(first)
-            symbols += [inner[b] for b in data[:-1]]
-            symbols.append(last[data[-1]])
-            for p in range(first, len(symbols) - 1):
-                rank = ranks.get((symbols[p], symbols[p + 1]))
-                if rank is not None:
-                    index.setdefault(rank, []).append(p)
-            symbols.append(-1)  # between words; no pair has it
-        after = list(range(1, len(symbols) + 1))
-        before = list(range(-1, len(symbols) - 1))
+        self._enter(index, s[:-1], s[1:], np.arange(len(data) - 1))
         active = list(index)
         heapq.heapify(active)
         while active:
             rank = heapq.heappop(active)
             left, right = pairs[rank]
             new, todo = made[rank], index.pop(rank)
+            if len(todo) >= AT_ONCE and left != right and rank >= self.settled:
+                p = np.unique(np.array(todo))
+                p = p[(s[p] == left)]
+                p = p[s[nxt[p]] == right]
+                q = nxt[p]
+                s[p], s[q] = new, -2
+                q = nxt[q]
+                nxt[p], prv[q] = q, p
+                a = prv[p]
+                p_left = p[a >= 0]
+                a = a[a >= 0]
+                for r in self._enter(index, np.concatenate([s[a], s[p]]), np.concatenate([s[p_left], s[q]]), np.concatenate([a, p])):
+                    heapq.heappush(active, r)
+                continue
             todo.sort()
             for n, p in enumerate(todo):
                 if symbols[p] != left:
@@ -136,14 +163,29 @@ class Bpe:
                     index.setdefault(rank, []).extend(todo[n + 1:])
                     heapq.heappush(active, rank)
                     break
-        out = []
-        for first in begins:
-            ids, p = [], first
-            while symbols[p] != -1:
-                ids.append(symbols[p])
-                p = after[p]
-            out.append(ids)
-        return out
+        kept = s[s != -2]
+        return [x[:-1].tolist() for x in np.split(kept, np.flatnonzero(kept == -1) + 1)[:-1]]
+
+    def _enter(self, index: dict[int, list[int]], lefts: np.ndarray, rights: np.ndarray, places: np.ndarray) -> list[int]:
+        """Enter the places of pairs into the lists of their ranks; the ranks that had no list."""
+        keys = lefts.astype(np.int64) << 32 | rights
+        at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
+        known = (self._keys[at] == keys) & (lefts >= 0) & (rights >= 0)
+        found, places = self._key_ranks[at[known]], places[known]
+        order = np.argsort(found, kind="stable")
+        found, places = found[order], places[order].tolist()
+        if not places:
+            return []
+        cuts = np.flatnonzero(np.diff(found, prepend=-1)).tolist()
+        fresh = []
+        for a, b in zip(cuts, [*cuts[1:], len(places)], strict=True):
+            r = int(found[a])
+            if r in index:
+                index[r] += places[a:b]
+            else:
+                index[r] = places[a:b]
+                fresh.append(r)
+        return fresh
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.tokens[i] for i in ids)
@@ -159,7 +201,7 @@ def encode_decode(documents: DataFrame, vocabulary: str, id_col: str = "doc_id",
 
     def run(batches):
         bpe, known = _load(vocabulary), {}
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, 8 << 20):
             texts = [bpe.words(x or "") for x in batch.column(1).to_pylist()]
             new = list({w for words in texts for w in words if w not in known})
             if len(known) + len(new) > KEPT_WORDS:
@@ -172,8 +214,9 @@ def encode_decode(documents: DataFrame, vocabulary: str, id_col: str = "doc_id",
                 known[word] = (np.array([bpe.special[word[1:]]], "<u4").tobytes(), word[1:])
             ids, decoded = [], []
             for words in texts:
-                ids.append(b"".join([known[w][0] for w in words]))
-                decoded.append(" ".join([known[w][1] for w in words]))
+                found = list(map(known.__getitem__, words))
+                ids.append(b"".join([x[0] for x in found]))
+                decoded.append(" ".join([x[1] for x in found]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())],
                 names=["doc_id", "n_tokens", "ids", "decoded"])
