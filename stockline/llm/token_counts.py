@@ -25,6 +25,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -36,10 +37,11 @@ CHUNK_BYTES = 12 << 20
 # Fixed value: the pattern of byte-level pre-tokenisation.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-_ROWS = pa.schema([("piece", pa.string()), ("chunk", pa.int64()), ("uses", pa.binary()), ("ids", pa.list_(pa.int64())),
-                   ("sizes", pa.list_(pa.int64()))])
-_SUMS = pa.schema([("chunk", pa.int64()), ("docs", pa.binary()), ("sums", pa.binary()), ("ids", pa.list_(pa.int64())),
-                   ("sizes", pa.list_(pa.int64()))])
+#: Begins the key of a chunk's list of documents; no pre-token mixes a control character with letters.
+HEAD = "\x00chunk"
+_ROWS = pa.schema([("piece", pa.string()), ("chunk", pa.int64()), ("uses", pa.binary())])
+_SUMS = pa.schema([("chunk", pa.int64()), ("docs", pa.binary()), ("sums", pa.binary())])
+_DOCS = np.dtype([("id", "<i8"), ("has_id", "?"), ("size", "<i8")])
 
 
 class PreTokens:
@@ -110,11 +112,9 @@ class _Chunk:
         offsets = np.concatenate([[0], ends]).astype(np.int32)
         uses = pa.Array.from_buffers(pa.binary(), len(self.names), [None, pa.py_buffer(offsets), pa.py_buffer(entries[order])])
         n = len(self.names)
-        body = pa.RecordBatch.from_arrays(
-            [pa.array(self.names.keys(), pa.string()), pa.array(np.full(n, chunk)), uses, pa.nulls(n, pa.list_(pa.int64())),
-             pa.nulls(n, pa.list_(pa.int64()))], schema=_ROWS)
-        # No pre-token mixes a control character with letters, so this key is never one.
-        head = pa.RecordBatch.from_pylist([{"piece": f"\x00chunk{chunk}", "chunk": chunk, "uses": None, "ids": self.ids, "sizes": self.sizes}], _ROWS)
+        body = pa.RecordBatch.from_arrays([pa.array(self.names.keys(), pa.string()), pa.array(np.full(n, chunk)), uses], schema=_ROWS)
+        docs = np.array([(i or 0, i is not None, size) for i, size in zip(self.ids, self.sizes, strict=True)], _DOCS)
+        head = pa.RecordBatch.from_pylist([{"piece": f"{HEAD}{chunk}", "chunk": chunk, "uses": docs.tobytes()}], _ROWS)
         return pa.Table.from_batches([head, body]).combine_chunks()
 
 
@@ -143,11 +143,12 @@ def count_tokens(documents: DataFrame, vocabulary: str, id_col: str = "doc_id",
                 sums.clear()
 
         for batch in batches:
+            head = pc.starts_with(batch.column("piece"), HEAD)
+            if pc.any(head).as_py():
+                docs = batch.filter(head)
+                yield pa.RecordBatch.from_arrays([docs.column("chunk"), docs.column("uses"), pa.nulls(docs.num_rows, pa.binary())], schema=_SUMS)
+                batch = batch.filter(pc.invert(head))
             pieces, chunks = batch.column("piece").to_pylist(), batch.column("chunk").to_numpy()
-            heads = np.flatnonzero(batch.column("uses").is_null().to_numpy(zero_copy_only=False))
-            if len(heads):
-                yield pa.RecordBatch.from_pylist(
-                    [{k: row[k] for k in ("chunk", "ids", "sizes")} for row in batch.take(pa.array(heads)).to_pylist()], _SUMS)
             fresh = [i for i in range(len(pieces)) if pieces[i] != (pieces[i - 1] if i else last)]
             counts = np.zeros(len(pieces), np.int64)
             for i, found in zip(fresh, tokenizer.encode_batch([pieces[i] for i in fresh], add_special_tokens=False), strict=True):
@@ -160,8 +161,8 @@ def count_tokens(documents: DataFrame, vocabulary: str, id_col: str = "doc_id",
                 counts[:fresh[0] if fresh else len(pieces)] = last_count
             if pieces:
                 last, last_count = pieces[-1], counts[-1]
-            sizes = np.array([len(x) // 2 if x else 0 for x in batch.column("uses").to_pylist()], np.int64)
-            entries = np.frombuffer(b"".join(x for x in batch.column("uses").to_pylist() if x), np.uint16)
+            sizes = pc.binary_length(batch.column("uses")).to_numpy() // 2
+            entries = np.frombuffer(b"".join(batch.column("uses").to_pylist()), np.uint16)
             tokens = np.repeat(counts, sizes) * (entries & ENTRY)
             of, docs = np.repeat(chunks, sizes), entries >> 4
             for chunk in np.unique(of):
@@ -174,16 +175,19 @@ def count_tokens(documents: DataFrame, vocabulary: str, id_col: str = "doc_id",
 
     def add_up(table: pa.Table) -> pa.Table:
         total = np.zeros(CHUNK_DOCS, np.int64)
-        ids = sizes = None
+        docs = np.zeros(0, _DOCS)
         for row in table.to_pylist():
-            if row["ids"] is not None:
-                ids, sizes = row["ids"], row["sizes"]
+            if row["sums"] is None:
+                docs = np.frombuffer(row["docs"], _DOCS)
             else:
                 total[np.frombuffer(row["docs"], np.uint16)] += np.frombuffer(row["sums"], np.int64)
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_bytes": pa.array(sizes, pa.int64()), "n_tokens": pa.array(total[:len(ids)])})
+        return pa.table({"doc_id": pa.array(docs["id"].copy(), mask=~docs["has_id"]), "n_bytes": pa.array(docs["size"].copy()), "n_tokens": total[:len(docs)]})
 
     rows = documents.select(F.col(id_col).cast("long"), F.col(text_col).alias("text")).mapInArrow(
-        invert, "piece string, chunk long, uses binary, ids array<long>, sizes array<long>")
-    sums = rows.repartition("piece").sortWithinPartitions("piece").mapInArrow(
-        multiply, "chunk long, docs binary, sums binary, ids array<long>, sizes array<long>")
+        invert, "piece string, chunk long, uses binary")
+    # Sorted by a hash: equal pieces are neighbours, and 64-bit keys sort many times faster than strings. Where two pieces share
+    # a hash they may alternate, and are counted again.
+    together = rows.repartition("piece").withColumn("h", F.xxhash64("piece")).sortWithinPartitions("h").drop("h")
+    sums = together.mapInArrow(
+        multiply, "chunk long, docs binary, sums binary")
     return sums.groupBy("chunk").applyInArrow(add_up, "doc_id long, n_bytes long, n_tokens long")
