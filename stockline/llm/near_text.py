@@ -67,7 +67,7 @@ def is_linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-class _Groups:
+class Groups:
     """Union-find over a few keys, merging small groups for one task."""
 
     def __init__(self) -> None:
@@ -204,7 +204,7 @@ def _block_links(rows: DataFrame, percent: int, trees: int, depth: int, least: i
             sets = [np.frombuffer(x, np.uint64) for x in table.column("elements").to_pylist()]
             open_ = _open_pairs(sigs, comps, table.column("side").to_numpy(), percent / 100 - 0.15)
             heads = sigs.reshape(len(sigs), trees, depth)[:, :tree, :least]
-            groups, us, vs = _Groups(), [], []
+            groups, us, vs = Groups(), [], []
             for i in np.flatnonzero(open_.any(axis=1)):
                 js = np.flatnonzero(open_[i])
                 js = js[~(heads[js] == heads[i]).all(axis=2).any(axis=1)]  # those met in an earlier order already

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stockline.llm.decontaminate import find_passages
 from stockline.llm.token_counts import count_tokens
 from stockline.llm.bpe import encode_decode
 from stockline.llm.near_text import near_groups
+from stockline.llm.near_vectors import near_vectors
+from stockline.llm.quality import score_quality
 from stockline.llm.html_text import extract_text
 from stockline.llm.url_filter import Rule, judge_sql, judge_urls
 from stockline.llm.warc import read_warc, write_warc
@@ -57,6 +59,20 @@ def op9_near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), shingle=2)
 
 
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def held_out() -> Column:
+    """Whether a row's label is kept from fitting."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").filter(~held_out()))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 WARC_SQL = f"""
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
@@ -72,5 +88,7 @@ QUERIES = {"op1_warc": op1_warc, "op2_html_text": op2_html_text, "op3_url_filter
     "op5_token_counts": op5_token_counts,
     "op10_bpe": op10_bpe,
     "op9_near_text": op9_near_text,
+    "op6_near_vectors": op6_near_vectors,
+    "op8_quality": op8_quality,
 }
 ORACLE_SQL = {"op1_warc": WARC_SQL, "op3_url_filter": judge_sql(URL_RULES)}
