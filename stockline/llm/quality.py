@@ -216,14 +216,40 @@ def with_features(documents: DataFrame, text_col: str = "text") -> DataFrame:
     return own.mapInArrow(run, f"{kept}features binary")
 
 
-def labelled_sample(features: DataFrame, labels: DataFrame, sample: int) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of at most ``sample`` labelled documents."""
-    chosen = (labels.groupBy("doc_id").agg(F.avg("quality").alias("quality")).filter("quality is not null and doc_id is not null")
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+def chosen_labels(labels: DataFrame, sample: int) -> DataFrame:
+    """``(doc_id, quality)`` of at most ``sample`` labelled ids."""
+    return (labels.groupBy("doc_id").agg(F.avg("quality").alias("quality")).filter("quality is not null and doc_id is not null")
+            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+
+
+def fit_quality(features: DataFrame, chosen: DataFrame) -> AdditiveModel:
+    """The model fitted on the rows of ``features`` (doc_id, features) that ``chosen`` names."""
     rows = (features.join(chosen, "doc_id").groupBy("doc_id").agg(F.min("features").alias("features"), F.first("quality").alias("quality"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").collect())
     x = np.array([np.frombuffer(r["features"]) for r in rows]).reshape(len(rows), len(FEATURES))
-    return x, np.array([float(r["quality"] >= 0.5) for r in rows])
+    return fit_additive(x, np.array([float(r["quality"] >= 0.5) for r in rows]))
+
+
+def good_documents(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+                   sample: int = 20_000, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``documents``, with all their columns, that score at least ``threshold``.
+
+    The labelled sample is described first; all rows are then described and
+    scored where they are, so no text is shuffled.
+    """
+    chosen = stored(chosen_labels(labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).alias("quality")), sample), "chosen")
+    own = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    # At most ``sample`` rows, so every task can hold them.
+    model = fit_quality(with_features(own.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")), chosen)
+    plain = documents.toDF(*[f"c{i}" for i in range(len(documents.columns))])
+    at = documents.columns.index(text_col)
+
+    def run(batches):
+        for batch in small_batches(batches, 16 << 20):
+            rows = [describe(x.encode() if x else b"") for x in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(model.score(np.array(rows).reshape(len(rows), len(FEATURES))) >= threshold))
+
+    return plain.mapInArrow(run, plain.schema).toDF(*documents.columns)
 
 
 def score_quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
@@ -235,7 +261,7 @@ def score_quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id
     """
     own = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     features = stored(with_features(own), "features")
-    model = fit_additive(*labelled_sample(features, labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).alias("quality")), sample))
+    model = fit_quality(features, chosen_labels(labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).alias("quality")), sample))
 
     def run(batches):
         for batch in batches:

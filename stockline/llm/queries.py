@@ -11,6 +11,7 @@ from stockline.llm.bpe import encode_decode
 from stockline.llm.near_text import near_groups
 from stockline.llm.near_vectors import near_vectors
 from stockline.llm.quality import score_quality
+from stockline.llm.personal import KINDS, find_personal, joined
 from stockline.llm.html_text import extract_text
 from stockline.llm.url_filter import Rule, judge_sql, judge_urls
 from stockline.llm.warc import read_warc, write_warc
@@ -73,6 +74,13 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op7_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal(table(spark, sf_dir, "documents"), ["doc_id"])
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    counts = [count(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 WARC_SQL = f"""
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
@@ -90,5 +98,6 @@ QUERIES = {"op1_warc": op1_warc, "op2_html_text": op2_html_text, "op3_url_filter
     "op9_near_text": op9_near_text,
     "op6_near_vectors": op6_near_vectors,
     "op8_quality": op8_quality,
+    "op7_personal": op7_personal,
 }
 ORACLE_SQL = {"op1_warc": WARC_SQL, "op3_url_filter": judge_sql(URL_RULES)}
