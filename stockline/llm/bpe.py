@@ -29,10 +29,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stockline.llm.common import small_batches
+from stockline.llm.common import give_back, small_batches
 
-#: Encoded words that a task keeps at most; then it starts anew.
-KEPT_WORDS = 400_000
+#: Once a task keeps more encoded words than this, it starts anew with the next batch.
+KEPT_WORDS = 150_000
 #: From so many positions on, a pair is merged with array operations.
 AT_ONCE = 100
 
@@ -200,17 +200,19 @@ def encode_decode(documents: DataFrame, vocabulary: str, id_col: str = "doc_id",
     """``(doc_id, n_tokens, ids, decoded)`` of every row; ``ids`` are little-endian unsigned 32-bit integers."""
 
     def run(batches):
-        bpe, known = _load(vocabulary), {}
-        for batch in small_batches(batches, 8 << 20):
-            texts = [bpe.words(x or "") for x in batch.column(1).to_pylist()]
-            new = list({w for words in texts for w in words if w not in known})
-            if len(known) + len(new) > KEPT_WORDS:
+        bpe, known, pool = _load(vocabulary), {}, {}
+        for batch in small_batches(batches, 3 << 20):
+            if len(pool) > KEPT_WORDS:
                 known.clear()
-                new = list({w for words in texts for w in words})
+                pool.clear()
+                give_back()
+            # Every word is held once, however often it occurs.
+            texts = [list(map(pool.setdefault, words, words)) for words in map(bpe.words, (x or "" for x in batch.column(1).to_pylist()))]
+            new = [w for w in pool if w not in known]
             plain = [w for w in new if w[0] != "\x00" or w[1:] not in bpe.special]
             for word, ids in zip(plain, bpe.encode_words(plain), strict=True):
                 known[word] = (np.array(ids, "<u4").tobytes(), bpe.decode(ids))
-            for word in set(new) - set(plain):
+            for word in set(new).difference(plain):
                 known[word] = (np.array([bpe.special[word[1:]]], "<u4").tobytes(), word[1:])
             ids, decoded = [], []
             for words in texts:

@@ -108,9 +108,22 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     return mix(total)
 
 
+def give_back() -> None:
+    """Return freed memory to the system; a worker goes on to other tasks and may stay idle beside them."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it, others need no such call
+    if trim:
+        trim(0)
+
+
 def small_batches(batches, most: int = 4 << 20):
     """Arrow batches cut to pieces of at most ``most`` bytes, or one row where that alone is longer."""
     for batch in batches:
         rows = max(1, batch.num_rows * most // max(batch.nbytes, most))
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+    give_back()

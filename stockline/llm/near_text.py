@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from stockline.llm.common import NOT_SPACE, WordHasher, gram_hashes, lower_bytes, mix, small_batches, stored, word_spans
+from stockline.llm.common import NOT_SPACE, WordHasher, give_back, gram_hashes, lower_bytes, mix, small_batches, stored, word_spans
 from stockline.operators.components import connected_components
 
 _SEEDS = mix(np.arange(1, 4097, dtype=np.uint64)) | np.uint64(1)
@@ -101,6 +101,7 @@ def cells(batches, key: str = "cell"):
                 held = []
     if held:
         yield pa.Table.from_batches(held)
+    give_back()
 
 
 def _matrix(column: pa.ChunkedArray, kind) -> np.ndarray:
@@ -149,7 +150,7 @@ def _neighbour_links(rows: DataFrame, percent: int, held: int = 4) -> DataFrame:
 
     def run(batches):
         region, last, leaders = None, None, []
-        for batch in batches:
+        for batch in small_batches(batches):
             us, vs = [], []
             for row in batch.to_pylist():
                 own = (row["rep"], np.frombuffer(row["elements"], np.uint64))
