@@ -86,8 +86,8 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds:
     score = start
     if not shares.isEmpty():
         for n in range(1, rounds + 1):
-            inflow = score.join(shares, (score["kind"] == shares["kind"]) & (score["host"] == shares["a"])).select(
-                shares["kind"], shares["b"].alias("host"), (F.col("score") * F.col("share")).alias("score"))
+            inflow = score.withColumnRenamed("host", "a").join(shares, ["kind", "a"]).select(
+                "kind", F.col("b").alias("host"), (F.col("score") * F.col("share")).alias("score"))
             score = start.unionByName(inflow).groupBy("kind", "host").agg(F.sum("score").alias("score"))
             if n % 4 == 0:
                 score = durable(score)
