@@ -652,13 +652,13 @@ PROMO_WEIGHTS = {"RF_A": [0.5, -1.25], "RF_R": [1.5, 0.25], "LS_F": [-0.75, 2.0]
 
 
 def made_vectors(spark, folder) -> DataFrame:
-    """Vectors of the brands and of six weekdays, derived from the tables."""
+    """Vectors of the brands and of the weekdays, derived from the tables."""
     number = F.regexp_extract("p_brand", "([0-9]+)$", 1).cast("double")
     brands = tables.table(spark, folder, "part").select("p_brand").distinct().select(
         F.lit(spec.CATEGORY_2).alias("column"), F.col("p_brand").alias("category"),
         F.array(number / 2, -number / 4, F.lit(1.0)).alias("vector"))
     day = F.dayofweek(F.col("l_shipdate").cast("date"))
-    days = (tables.table(spark, folder, "lineitem").select(day.alias("d")).distinct().filter("d < 7")
+    days = (tables.table(spark, folder, "lineitem").select(day.alias("d")).distinct()
             .select(F.lit("DayOfWeek").alias("column"), F.col("d").cast("string").alias("category"),
                     F.array(F.col("d") * 1.5, F.col("d") * -0.5).alias("vector")))
     return brands.unionByName(days)

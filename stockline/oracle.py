@@ -453,7 +453,7 @@ def density_sql() -> dict[str, str]:
 
 def model_sql() -> dict[str, str]:
     number = "CAST(regexp_extract(product_cat_lv2, '([0-9]+)$', 1) AS DOUBLE)"
-    weekday = "CASE WHEN DayOfWeek < 7 THEN DayOfWeek * {} ELSE 0 END"
+    weekday = "DayOfWeek * {}"
     weights = {"RF_A": (0.5, -1.25), "RF_R": (1.5, 0.25), "LS_F": (-0.75, 2.0)}
     flags = ", ".join(f"{flag_sql(c)} AS {c}" for c in weights)
     sums = ", ".join(

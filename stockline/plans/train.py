@@ -99,9 +99,15 @@ def train(sales: DataFrame, sides: dims.Dimensions, store: FeatureStore, model_f
           regressor=RandomForestRegressor, promo_cutoff: float = spec.PROMO_CUTOFF,
           overwrite_features: bool = False, save_mode: str = SOFT_OVERWRITE,
           overwrite_model: bool = False, months_per_commit: int = 1, **params) -> Trained:
-    """From the sales fact to a stored model and its out-of-time evaluation."""
+    """From the sales fact to a stored model and its out-of-time evaluation.
+
+    A stored model is kept only if it was fitted for the same plan and periods.
+    """
     plan, periods = plan or FeaturePlan(), periods or Periods()
     spark, root = sales.sparkSession, model_folder.rstrip("/")
+    made_for = f"{plan} {periods} {regressor.__name__} {sorted(params.items())}"
+    known = path_exists(spark, f"{root}/made_for") and spark.read.text(f"{root}/made_for", wholetext=True).first()
+    overwrite_model = overwrite_model or not known or known[0].strip() != made_for
     base = save_basic(sales, sides, store, periods.start, periods.end, promo_cutoff, overwrite_features)
     saved = save_features(base, sides, store, plan, periods.dev, periods.end, overwrite_features)
     wide = store.combine(base, saved, periods.dev, periods.end, save_mode, months_per_commit=months_per_commit)
@@ -120,6 +126,7 @@ def train(sales: DataFrame, sides: dims.Dimensions, store: FeatureStore, model_f
     vectors = spark.read.parquet(f"{root}/training_dataset")
     model.save_model(vectors, model_path, regressor, label=label, transforms=transforms,
                      overwrite=overwrite_model, **params)
+    spark.createDataFrame([(made_for,)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/made_for")
     fitted = PipelineModel.load(model_path).stages[-1]
     overwrite_table(fitted.transform(spark.read.parquet(f"{root}/testing_dataset")), f"{root}/testing_prediction")
 

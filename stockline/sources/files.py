@@ -22,8 +22,9 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, infer: b
     """CSV with a header. Without a schema every column is a string.
 
     ``infer`` costs a pass over the whole file, so a schema is preferable. A
-    schema is matched to the header by name: files may order columns freely
-    and carry further ones.
+    schema is matched to the header by name: columns may come in any order,
+    with further ones among them, but in the same way in all files of a
+    folder. A file with another header fails the read.
     """
     reader = spark.read.option("header", True)
     if schema is None:
@@ -35,7 +36,7 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, infer: b
         f"`{c}` {types[c.lower()].dataType.simpleString() if c.lower() in types else 'string'}"
         for c in header)
     present = [f.name for f in wanted if f.name.lower() in {c.lower() for c in header}]
-    return reader.schema(ddl).csv(path).select(*present)
+    return reader.option("enforceSchema", False).schema(ddl).csv(path).select(*present)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -74,6 +75,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if there is one."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries of a folder; empty if there is no such folder."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

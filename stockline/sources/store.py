@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stockline import spec
 from stockline.functions.dates import as_date, calendar_between, month_end, month_ends, with_month_end
 from stockline.operators.clean import in_period
-from stockline.sources.files import child_names, path_exists
+from stockline.sources.files import child_names, path_exists, remove_path
 
 log = logging.getLogger(__name__)
 
@@ -84,16 +84,22 @@ class FeatureStore:
         return month_ends(first, end) if save_mode == SOFT_OVERWRITE and first else []
 
     def exists(self, name: str, start=None, end=None) -> bool:
-        """Whether the table is there; for a single day, whether that day is."""
+        """Whether the table is there and covers the period: that day, or every month of it."""
         if not path_exists(self.spark, self.path(name)):
             return False
-        return self.has_day(name, start) if start is not None and as_date(start) == as_date(end) else True
+        if start is None:
+            return True
+        if as_date(start) == as_date(end):
+            return self.has_day(name, start)
+        return self.first_missing_month(name, start, end) is None
 
     def save_feature(self, df: DataFrame, feature: Callable[..., DataFrame], name: str, start, end,
                      overwrite: bool = True, **params) -> bool:
         """Compute a feature table and write the rows from ``start`` to ``end``.
 
-        Returns False if the table exists and is to be kept.
+        With ``overwrite`` they replace the table. Without, months that are
+        stored are kept and only missing ones are written; returns False if
+        none is missing.
         """
         if not overwrite and self.exists(name, start, end):
             log.info("feature table %s is kept", name)
@@ -101,11 +107,28 @@ class FeatureStore:
         rows = feature(df, **params)
         if self.month not in rows.columns:
             rows = with_month_end(rows, self.date, self.month)
-        self._write(in_period(rows, start, end, self.date, self.month), name, "static")
+        rows = in_period(rows, start, end, self.date, self.month)
+        if overwrite or as_date(start) == as_date(end) or not path_exists(self.spark, self.path(name)):
+            self._write(rows, name, "static")
+        else:
+            stored = self.months(name)
+            missing = [m for m in month_ends(start, end) if m not in stored]
+            self.replace_months(rows.filter(F.col(self.month).isin(missing)), name, missing)
         return True
 
-    def replace_months(self, df: DataFrame, name: str) -> None:
-        """Write the months that occur in ``df`` and leave all others as they are."""
+    def replace_months(self, df: DataFrame, name: str, months: Sequence[dt.date] = ()) -> None:
+        """Write the months that occur in ``df`` and leave all others as they are.
+
+        Listed ``months`` are emptied first, so one without new rows does not
+        keep its old ones; if the write is interrupted, they count as missing.
+        The columns must be those of the stored table.
+        """
+        if self.months(name):
+            old, new = set(self.read(name).columns), set(df.columns)
+            if old != new:
+                raise ValueError(f"columns of {name} would change: {sorted(old ^ new)}")
+        for month in months:
+            remove_path(self.spark, f"{self.path(name)}/{self.month}={month.isoformat()}")
         self._write(df, name, "dynamic")
 
     def _write(self, df: DataFrame, name: str, mode: str) -> None:
@@ -117,7 +140,7 @@ class FeatureStore:
 
     def combine(self, df: DataFrame, features: Sequence[FeatureTable], start, end,
                 save_mode: str = KEEP, name: str = COMBINED, months_per_commit: int = 1) -> DataFrame:
-        """Join every feature table to the fact and store the result by month.
+        """Join every feature table to the fact, store the result by month and return the period's rows.
 
         Each commit covers ``months_per_commit`` months, so an interrupted run
         resumes with the first missing one. Feature tables are checked for
@@ -129,8 +152,8 @@ class FeatureStore:
             batch = months[at:at + months_per_commit]
             wide = self.assemble(df.filter(F.col(self.month).isin(batch)), features, batch)
             log.info("writing %s, months %s to %s", name, batch[0], batch[-1])
-            self.replace_months(wide, name)
-        return self.read(name)
+            self.replace_months(wide, name, batch)
+        return in_period(self.read(name), start, end, self.date, self.month)
 
     def assemble(self, df: DataFrame, features: Sequence[FeatureTable], months: Sequence[dt.date]) -> DataFrame:
         tables = {f: self.read(f.name).filter(F.col(self.month).isin(list(months))) for f in features}

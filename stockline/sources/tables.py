@@ -77,22 +77,23 @@ def categories(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def category_groups(spark: SparkSession, folder: str) -> DataFrame:
-    """Four groups for the first twenty brands; the others have none."""
+    """Four groups for the first twenty brands; that of the others is null."""
     number = F.regexp_extract("p_brand", "([0-9]+)$", 1).cast("int")
-    return (table(spark, folder, "part").select("p_brand").distinct().filter(number <= 20)
+    return (table(spark, folder, "part").select("p_brand").distinct()
             .select(F.col("p_brand").alias(spec.CATEGORY_2),
-                    F.concat(F.lit("group_"), number % 4).alias(spec.CATEGORY_1)))
+                    F.when(number <= 20, F.concat(F.lit("group_"), number % 4)).alias(spec.CATEGORY_1)))
 
 
 def stores(spark: SparkSession, folder: str) -> DataFrame:
-    """Attributes of the stores; those in debt have none."""
+    """Attributes of the stores; those in debt have nulls."""
     key = F.col("s_suppkey")
-    return table(spark, folder, "supplier").filter("s_acctbal >= 0").select(
+    solvent = F.col("s_acctbal") >= 0
+    return table(spark, folder, "supplier").select(
         key.alias(spec.STORE),
-        (1990 + key % 20).cast("int").alias("YearOpened"),
-        (1 + key % 12).cast("int").alias("MonthOpened"),
-        F.concat(F.lit("cluster_"), F.col("s_nationkey") % 5).alias("LocationCluster"),
-        F.when(F.col("s_acctbal") < 5000, "small").otherwise("large").alias("StoreType"))
+        F.when(solvent, 1990 + key % 20).cast("int").alias("YearOpened"),
+        F.when(solvent, 1 + key % 12).cast("int").alias("MonthOpened"),
+        F.when(solvent, F.concat(F.lit("cluster_"), F.col("s_nationkey") % 5)).alias("LocationCluster"),
+        F.when(solvent, F.when(F.col("s_acctbal") < 5000, "small").otherwise("large")).alias("StoreType"))
 
 
 def dimensions(spark: SparkSession, folder: str) -> Dimensions:

@@ -152,3 +152,36 @@ def test_history_reads_only_the_months_it_needs(store, facts):
     text = late._jdf.queryExecution().executedPlan().toString()
     assert "Date_EOM" in text.split("PartitionFilters:")[1].split("PushedFilters")[0]
     assert "GreaterThanOrEqual(Date,2020-08-27)" in text
+
+
+def test_later_period_adds_its_months_and_keeps_the_others(store, facts):
+    store.save_feature(facts.filter("Date < '2020-07-15'"), by_day, "ft", START, "2020-07-31")
+    before = store.read("ft").filter("Date_EOM = '2020-06-30'").count() if "Date_EOM" in store.read("ft").columns else None
+    assert store.save_feature(facts, by_day, "ft", START, END, overwrite=False)
+    assert store.months("ft") == [dt.date(2020, 6, 30), dt.date(2020, 7, 31), dt.date(2020, 8, 31), dt.date(2020, 9, 30)]
+    assert before is None or store.read("ft").filter("Date_EOM = '2020-06-30'").count() == before
+    assert not store.save_feature(facts, by_day, "ft", START, END, overwrite=False)
+
+
+def test_combine_returns_its_period_only(store, facts):
+    store.save_feature(facts, by_day, "ft", START, END)
+    table = [FeatureTable("ft", ("item",))]
+    store.combine(facts, table, START, END)
+    part = store.combine(facts, table, "2020-07-05", "2020-07-20")
+    row = part.agg(F.min("Date"), F.max("Date")).first()
+    assert row[0] >= dt.date(2020, 7, 5) and row[1] <= dt.date(2020, 7, 20)
+
+
+def test_a_month_without_new_rows_is_emptied(store, facts):
+    store.save_feature(facts, by_day, "ft", START, END)
+    table = [FeatureTable("ft", ("item",))]
+    store.combine(facts, table, START, END)
+    none = store.combine(facts.filter("Date > '2020-07-31'"), table, "2020-07-01", "2020-07-31", "overwrite")
+    assert none.count() == 0
+    assert dt.date(2020, 7, 31) not in store.months("combined_ft") and dt.date(2020, 8, 31) in store.months("combined_ft")
+
+
+def test_a_table_does_not_change_its_columns_silently(store, facts):
+    store.replace_months(facts, "ft")
+    with pytest.raises(ValueError, match="would change"):
+        store.replace_months(facts.withColumn("more", F.lit(1)), "ft")
