@@ -542,7 +542,7 @@ def stratified_split(spark, folder):
 
 # --- density clustering ----------------------------------------------------
 
-EPS, MIN_PTS = 0.03, 5
+EPS, MIN_PTS = 0.01, 5
 
 
 def hood(spark, folder) -> density.Neighbourhood:

@@ -420,10 +420,10 @@ def store_sql() -> dict[str, str]:
 
 DENSITY = """WITH RECURSIVE
 p AS MATERIALIZED (
-  SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
+  SELECT l_partkey AS id, round(avg(l_quantity) / 50, 9) AS x, round(avg(l_discount) * 10, 9) AS y FROM lineitem GROUP BY 1),
 e AS MATERIALIZED (
   SELECT a.id AS a, b.id AS b FROM p a JOIN p b
-  ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 0.03),
+  ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 0.01),
 core AS MATERIALIZED (SELECT a AS id FROM e GROUP BY a HAVING count(*) >= 5),
 ce AS MATERIALIZED (SELECT a, b FROM e WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
 reach AS (SELECT id, id AS label FROM core UNION SELECT ce.b, reach.label FROM reach JOIN ce ON ce.a = reach.id),
@@ -435,7 +435,7 @@ clustered AS (SELECT * FROM comp UNION ALL SELECT * FROM border)"""
 
 
 def density_sql() -> dict[str, str]:
-    side = "CAST(0.03 AS DOUBLE) / sqrt(2) * (1 - CAST(1e-9 AS DOUBLE))"
+    side = "CAST(0.01 AS DOUBLE) / sqrt(2) * (1 - CAST(1e-9 AS DOUBLE))"
     return {
         "pairwise_distance": """WITH gaps AS (
             SELECT a.vec_id AS id, unnest(CAST(a.embedding AS DOUBLE[])) - unnest(CAST(b.embedding AS DOUBLE[])) AS g
