@@ -11,12 +11,12 @@ from stockline.functions import dates, metrics
 from stockline.functions.distance import METRICS, distance
 from stockline.operators import (
     averages, clean, density, dims, embedding, frequency, model, promo, recency, trailing)
-from stockline.plans import baseline
-from stockline.plans.score import scoring_rows
+from stockline.plans import baseline, train
+from stockline.plans.score import score_day, scoring_rows
 from stockline.session import durable, fresh_folder
 from stockline.sources import files, tables
 from stockline.sources.store import FeatureStore, FeatureTable, repeated_keys
-from stockline.spec import RecencySpec, TrailingSpec
+from stockline.spec import FeaturePlan, RecencySpec, TrailingSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -295,8 +295,8 @@ def location_join(spark, folder):
 
 @query("lat_long")
 def lat_long(spark, folder):
-    rows = dims.with_location(tables.sales(spark, folder), tables.locations(spark, folder))
-    return rounded(dims.lat_long_feature(rows, tables.lat_long(spark, folder), tables.KEYS))
+    return rounded(dims.lat_long_feature(
+        tables.sales(spark, folder), tables.locations(spark, folder), tables.lat_long(spark, folder), tables.KEYS))
 
 
 @query("category_join")
@@ -340,8 +340,7 @@ def freq_cut_onehot(spark, folder):
 
 @query("freq_cut_categorical")
 def freq_cut_categorical(spark, folder):
-    counts = frequency.category_counts(tables.sales(spark, folder), spec.ITEM)
-    return rounded(frequency.frequency_cut(counts, spec.PROMO_CUTOFF), 9)
+    return rounded(frequency.frequent_categories(tables.sales(spark, folder), spec.PROMO_CUTOFF, spec.ITEM), 9)
 
 
 @query("cumsum_share")
@@ -357,13 +356,11 @@ def sort_desc(spark, folder):
 
 @query("basic_features")
 def basic_features(spark, folder):
-    """The bundle; which codes are frequent depends on the data, so their flags are added up."""
+    """The bundle; a code that is not frequent in the data has a flag of zero."""
     rows = tables.with_supply_price(tables.sales(spark, folder), folder)
     full = dims.basic_features(rows, tables.dimensions(spark, folder), 0.8)
-    flags = [c for c in full.columns if c in FLAGS]
-    total = sum((F.col(c) for c in flags), F.lit(0))
-    return rounded(full.withColumns({
-        spec.NET_SALE: F.col(spec.NET_SALE).cast("double"), "promo_flags": total}).drop(*flags))
+    rare = {c: F.lit(0) for c in FLAGS if c not in full.columns}
+    return rounded(full.withColumns({spec.NET_SALE: F.col(spec.NET_SALE).cast("double")} | rare))
 
 
 # --- averages and metrics --------------------------------------------------
@@ -474,6 +471,27 @@ def fs_replace_month(spark, folder):
     return store.read("brand_days")
 
 
+@query("fs_second_period")
+def fs_second_period(spark, folder):
+    """A quarter is stored, then half a year is asked for without overwriting."""
+    store = scratch_store(spark)
+    daily = brand_days(spark, folder)
+    for end in ("1997-03-31", "1997-06-30"):
+        store.save_feature(daily, lambda df: df, "brand_days", "1997-01-01", end, overwrite=False)
+    return store.read("brand_days")
+
+
+@query("fs_replace_empty_month")
+def fs_replace_empty_month(spark, folder):
+    """A stored month whose rows have all gone is empty after it is replaced."""
+    store = scratch_store(spark)
+    rows = tables.sales(spark, folder).select(*tables.KEYS, spec.DATE, spec.MONTH, spec.QUANTITY)
+    period = ("1997-01-01", "1997-06-30")
+    store.combine(rows, [], *period, months_per_commit=6)
+    gone = rows.filter(F.col(spec.MONTH) != "1997-02-28")
+    return store.combine(gone, [], *period, save_mode="overwrite", months_per_commit=6)
+
+
 @query("fs_missing_months")
 def fs_missing_months(spark, folder):
     store = scratch_store(spark)
@@ -485,26 +503,42 @@ def fs_missing_months(spark, folder):
 
 @query("combine_features")
 def combine_features(spark, folder):
-    """The fact with a row-grain and two group-day feature tables, stored by month."""
+    """The fact with the position of its store and two group-day feature tables, stored by month."""
     store = scratch_store(spark)
-    rows = tables.sales_for(spark, folder, (spec.CATEGORY_2, "ProvinceEN")).select(
-        *tables.KEYS, "ZipCode", "ProvinceEN", spec.CATEGORY_2, spec.DATE, spec.MONTH,
-        spec.QUANTITY, spec.NET_SALE, spec.SOLD)
     period = (tables.START, tables.END)
-    store.save_feature(
-        rows, lambda df: dims.lat_long_feature(df, tables.lat_long(spark, folder), tables.KEYS),
-        "lat_long_ft", *period)
+    places = dims.store_dimension(tables.locations(spark, folder), tables.lat_long(spark, folder))
+    sold = tables.sales_for(spark, folder, (spec.CATEGORY_2,)).join(places, spec.STORE, "left").select(
+        *tables.KEYS, spec.CATEGORY_2, spec.DATE, spec.MONTH, spec.QUANTITY, spec.NET_SALE, spec.SOLD,
+        "latitude", "longitude")
+    store.save_feature(sold, lambda df: df, "basic_ft", *period)
+    rows = store.read("basic_ft")
     store.save_feature(rows, trailing.trailing_features, "ts_agg_ft", *period, spec=BRAND)
     store.save_feature(rows, recency.recency_features, "consc_ft", *period, spec=RUNS)
-    fact_rows = rows.select(*tables.KEYS, spec.CATEGORY_2, spec.DATE, spec.MONTH, spec.QUANTITY)
+    fact_rows = rows.drop(spec.NET_SALE, spec.SOLD)
     wide = store.combine(
         fact_rows,
-        [FeatureTable("lat_long_ft", tables.KEYS), FeatureTable("ts_agg_ft", BRAND.group_cols),
-         FeatureTable("consc_ft", RUNS.group_cols)],
+        [FeatureTable("ts_agg_ft", BRAND.group_cols, unique=True),
+         FeatureTable("consc_ft", RUNS.group_cols, unique=True)],
         *period, save_mode="overwrite", months_per_commit=100)
     return trailing_rounded(wide, BRAND)
 
 
+FULL_PLAN = FeaturePlan(keys=tables.KEYS, promo_numbers=tuple(FLAGS))
+
+
+@query("full_features")
+def full_features(spark, folder):
+    """Every input of the models: basic columns, ten trailing and four recency groups, stored and assembled."""
+    store, period = scratch_store(spark), (tables.START, tables.END)
+    rows = tables.with_supply_price(tables.sales(spark, folder), folder)
+    base = train.save_basic(rows, tables.dimensions(spark, folder), store, *period, promo_cutoff=1, overwrite=True)
+    saved = train.save_features(base, store, FULL_PLAN, *period, overwrite=True)
+    wide = store.combine(base, saved, *period, save_mode="overwrite", months_per_commit=100)
+    digits = {c: d for group in FULL_PLAN.trailing for c, d in stat_digits(group).items()}
+    return rounded(wide.select(*tables.KEYS, spec.DATE, spec.MONTH, spec.QUANTITY, *FULL_PLAN.categories,
+                               *FULL_PLAN.numbers()), 6, **digits)
+
+
 @query("key_uniqueness")
 def key_uniqueness(spark, folder):
     return repeated_keys(tables.sales(spark, folder), ["OrderKey", "LineNumber"])
@@ -560,8 +594,8 @@ def pairwise_distance(spark, folder):
 
 @query("eps_neighbors")
 def eps_neighbors(spark, folder):
-    located = density.locate(tables.points(spark, folder), EPS, MIN_PTS, dim=2)
-    return density.eps_neighbours(located, EPS, (0, 1)).select("id", "other")
+    """The neighbours of all points that are not core points."""
+    return density.loose_neighbours(tables.points(spark, folder), EPS, MIN_PTS, dim=2)
 
 
 @query("core_points")
@@ -582,68 +616,68 @@ def dbscan_noise(spark, folder):
 
 # --- models ----------------------------------------------------------------
 
-ML_CATEGORIES = ["LocationCluster", "StoreType", "ProvinceEN", "DistrictEN", spec.CATEGORY_1, spec.CATEGORY_2]
-ML_NUMBERS = ["avgPriceDis", "avgPrice", "supPrice", "DayOfMonth", "DayOfWeek", "Quarter", "MonthQuarter",
-              "Month", "WeekOfYear", "latitude", "longitude", "revenue", "discount", "percentage_discount",
-              "YearOpened", "MonthOpened"]
-ML_TRAILING = [TRAILING["mc"], TRAILING["cat_lv2"]]
-ML_RECENCY = [RECENCY["cat_lv2_br"]]
-
-
 @query("string_index")
 def string_index(spark, folder):
     rows = tables.sales_for(spark, folder, (spec.CATEGORY_2,)).select(*tables.KEYS, spec.DATE, spec.CATEGORY_2)
     return model.string_indexer([spec.CATEGORY_2]).fit(rows).transform(rows)
 
 
-def model_vectors(spark, folder) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Development and out-of-time rows with basic, trailing and recency features."""
-    sides = tables.dimensions(spark, folder)
+def trained(spark, folder, plan: FeaturePlan, **params) -> train.Trained:
+    """The training job on the test tables: stored features, a fitted forest, its predictions."""
     rows = tables.with_supply_price(tables.sales(spark, folder), folder)
-    wide = (dims.with_location(rows, sides.locations)
-            .transform(dates.with_calendar)
-            .transform(dims.with_category, sides.categories, sides.category_groups)
-            .transform(dims.with_store_cluster, sides.stores)
-            .transform(dims.with_price_features)
-            .transform(dims.with_lat_long, sides.lat_long))
-    wide = durable(wide)
-    numbers, joined = list(ML_NUMBERS), wide
-    for group in ML_TRAILING:
-        joined = joined.join(trailing.trailing_features(wide, group), [*group.group_cols, spec.DATE], "left")
-        numbers += group.columns()
-    for group in ML_RECENCY:
-        joined = joined.join(recency.recency_features(wide, group), [*group.group_cols, spec.DATE], "left")
-        numbers += group.columns()
-    filled = durable(clean.fill_strings(clean.fill_numbers(joined, numbers), ML_CATEGORIES))
-    dev, oot = clean.split_by_month(filled, tables.START_DEV, tables.START_OOT, tables.END)
-    return dev, oot, numbers
-
-
-def forest(spark, folder) -> tuple[DataFrame, object]:
-    dev, oot, numbers = model_vectors(spark, folder)
-    transforms = model.fit_transforms(dev, ML_CATEGORIES, numbers, one_hot=True)
-    fitted = model.fit_regressor(transforms.transform(dev), numTrees=10, maxDepth=4, seed=7)
-    return fitted.transform(transforms.transform(oot)), fitted
+    periods = train.Periods(tables.START, tables.START_DEV, tables.START_OOT, tables.END)
+    return train.train(rows, tables.dimensions(spark, folder), scratch_store(spark), fresh_folder(spark, "model"),
+                       plan, periods, promo_cutoff=1, months_per_commit=100, seed=7, **params)
 
 
 @query("rf_forecast")
 def rf_forecast(spark, folder):
-    scored, _ = forest(spark, folder)
-    return scored.select(*tables.KEYS, spec.DATE, spec.QUANTITY, "prediction")
+    """The job with all inputs. A forest averages known quantities, so it cannot leave their range."""
+    low, high = tables.sales(spark, folder).filter(F.col(spec.DATE) < tables.START_OOT).agg(
+        F.min(spec.QUANTITY), F.max(spec.QUANTITY)).first()
+    inside = F.coalesce(F.col("prediction").between(low, high), F.lit(False))
+    return trained(spark, folder, FULL_PLAN, numTrees=10, maxDepth=5).predictions.select(
+        *tables.KEYS, spec.DATE, spec.QUANTITY, inside.alias("inside"))
 
 
 @query("feature_importance")
 def feature_importance(spark, folder):
-    return model.feature_importance(*forest(spark, folder))
+    """What must hold for the importance table: it adds up to one, falls, and its running sum rises to it."""
+    table = trained(spark, folder, FULL_PLAN, numTrees=10, maxDepth=5).importance
+    ranked = table.agg(F.sum("importance").alias("total"), F.min("importance").alias("least"),
+                       F.max("cumsum").alias("reached"), F.count(F.lit(1)).alias("n"),
+                       F.count_distinct("feature_name").alias("names"),
+                       F.sort_array(F.collect_list(F.struct("cumsum", "importance"))).alias("steps"))
+    falling = F.forall(F.sequence(F.lit(1), F.size("steps") - 1),
+                       lambda i: F.get("steps", i - 1)["importance"] >= F.get("steps", i)["importance"])
+    return ranked.select((F.abs(F.col("total") - 1) < 1e-9).alias("adds_up"), (F.col("least") > 0).alias("positive"),
+                         (F.abs(F.col("reached") - 1) < 1e-9).alias("reaches_one"),
+                         (F.col("n") == F.col("names")).alias("names_differ"), falling.alias("falls"))
 
 
 @query("gbt_forecast")
 def gbt_forecast(spark, folder):
+    """Which rows get a prediction: those with known promotions; identifiers are hashed, so new ones count too."""
     rows = dates.with_calendar(tables.sales(spark, folder)).withColumns({
         c: F.col(c).cast("string") for c in (spec.ITEM, spec.STORE)})
     predicted, _ = baseline.boosted_baseline(
-        rows, fresh_folder(spark, "gbt"), tables.START_OOT, maxIter=3, maxDepth=3, seed=7)
-    return predicted.select(*tables.KEYS, spec.DATE, spec.QUANTITY, "prediction")
+        rows, fresh_folder(spark, "gbt"), tables.START_OOT, maxIter=5, maxDepth=4, seed=7)
+    return predicted.select(*tables.KEYS, spec.DATE, spec.QUANTITY, F.col("prediction").isNotNull().alias("predicted"))
+
+
+@query("score_two_days")
+def score_two_days(spark, folder):
+    """Three days in two months scored on one store; every call returns its own day only."""
+    plan = FeaturePlan(keys=tables.KEYS, promo_numbers=tuple(FLAGS), trailing=(BRAND,), recency=(RUNS,))
+    fitted = trained(spark, folder, plan, numTrees=3, maxDepth=3)
+    rows = tables.with_supply_price(tables.sales(spark, folder), folder)
+    store, out = scratch_store(spark), None
+    for call, day in enumerate(("2001-10-20", "2001-10-27", "2001-11-01"), 1):
+        scored = score_day(rows, tables.dimensions(spark, folder), store, fitted.model_path, day, plan)
+        part = durable(scored.select(F.lit(call).alias("call"), *tables.KEYS, spec.DATE,
+                                     F.col("prediction").isNotNull().alias("predicted")))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 # --- embeddings ------------------------------------------------------------
@@ -681,11 +715,12 @@ def promo_embedding(spark, folder):
 
 @query("embedding_vectors")
 def embedding_vectors(spark, folder):
-    """Vectors learned from categories, promotion flags and prices."""
+    """The categories that get a learned vector, its length, and whether all of it is finite."""
     rows = tables.sales_for(spark, folder, (spec.CATEGORY_2, "DistrictEN", "DayOfWeek"))
     flagged = promo.with_promo_flags(rows, FLAGS)
     categories, numbers = [spec.CATEGORY_2, "DistrictEN", "DayOfWeek"], ["Month", "avgPriceDis", "avgPrice"]
     clean_rows = durable(embedding.clean_for_embedding(flagged, categories, numbers, FLAGS).select(
         *categories, *numbers, *FLAGS, spec.QUANTITY))
     vectors, _ = embedding.train_embeddings(clean_rows, categories, FLAGS, numbers, size=4, maxIter=20, stepSize=0.1, seed=7)
-    return vectors.categories
+    finite = F.forall("vector", lambda x: F.abs(x) < float("inf"))
+    return vectors.categories.select("column", "category", F.size("vector").alias("size"), finite.alias("finite"))

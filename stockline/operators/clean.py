@@ -109,8 +109,9 @@ def stratified_split(df: DataFrame, fraction: float, label: str, keys: Sequence[
     disjoint and complete when a lost task is run again, and the rest needs no
     join against the sample. A row without a label falls into no class.
     """
-    buckets = 1 << 30
-    place = F.pmod(F.xxhash64(F.lit(seed), F.col(label), *keys), F.lit(buckets))
+    buckets = 1 << 32
+    text = F.concat_ws("|", F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (label, *keys)])
+    place = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
     drawn = F.col(label).isNotNull() & (place < F.lit(round(fraction * buckets)))
     return df.filter(drawn), df.filter(~drawn)
 

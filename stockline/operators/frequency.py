@@ -68,15 +68,20 @@ def frequency_cut(counts: DataFrame, cutoff: float, code: str = "code", count: s
 
 
 def percentile_cutoff(df: DataFrame, cutoff: float, columns: Sequence[str]) -> list[str]:
-    """Names of the frequent categories, most frequent first.
+    """Names of the frequent flags, most frequent first.
 
-    Several columns are read as 0/1 flags, a single one as a categorical. The
-    names become columns or filter values, so they are returned as a list.
+    The columns are read as 0/1 flags. Their names, at most as many as there
+    are columns, select columns and are returned as a list; for the values of
+    one categorical column see ``frequent_categories``.
     """
-    counts = flag_counts(df, columns) if len(columns) > 1 else category_counts(df, columns[0])
-    kept = frequency_cut(counts, cutoff).orderBy("cumsum")
+    kept = frequency_cut(flag_counts(df, columns), cutoff).orderBy("cumsum")
     return [row.code for row in kept.select("code").collect()]
 
 
+def frequent_categories(df: DataFrame, cutoff: float, column: str) -> DataFrame:
+    """``(code, n, cumsum, share)`` of the frequent values of a categorical column."""
+    return frequency_cut(category_counts(df, column), cutoff)
+
+
 def sort_by_count(counts: DataFrame, code: str = "code", count: str = "n") -> DataFrame:
     return counts.orderBy(F.col(count).desc(), F.col(code).asc())

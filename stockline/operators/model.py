@@ -50,22 +50,22 @@ def fit_regressor(train: DataFrame, regressor=RandomForestRegressor, features: s
 def baseline_pipeline(numbers: Sequence[str] = tuple(spec.BASELINE_NUMBERS),
                       strings: Sequence[str] = tuple(spec.BASELINE_STRINGS),
                       label: str = spec.QUANTITY, regressor=GBTRegressor,
-                      hashed: Sequence[str] = (), hash_size: int = 1 << 12, **params) -> Pipeline:
+                      hashed: Sequence[str] = (spec.ITEM, spec.STORE), hash_size: int = 1 << 12, **params) -> Pipeline:
     """Index, one-hot encode, find small categoricals, assemble and boost.
 
-    Rows with a category unseen in training are skipped. An index keeps every
-    label in the model; for identifiers too many for that, name them in
-    ``hashed``: they share ``hash_size`` positions instead.
+    Rows with an indexed category unseen in training are skipped. An index
+    keeps every label in the model, on the driver; identifiers, of which there
+    may be too many for that, are ``hashed`` to ``hash_size`` positions instead.
     """
-    index, one_hot = "_StringIndexer", "_OneHotEncoder"
-    features, hashes = "VectorAssembler_features", "hashed_features"
+    index, one_hot, small = "_place", "_flags", "_small"
+    features, hashes = "inputs", "hashed_inputs"
     named = [s for s in strings if s not in hashed]
-    stages, vectors = [], [f"{s}_VectorIndexer" for s in named]
+    stages, vectors = [], [f"{s}{small}" for s in named]
     if named:
         stages += [
             string_indexer(named, "skip", index),
             OneHotEncoder(inputCols=[s + index for s in named], outputCols=[s + one_hot for s in named]),
-            *[VectorIndexer(inputCol=s + one_hot, outputCol=s + "_VectorIndexer", maxCategories=10) for s in named]]
+            *[VectorIndexer(inputCol=s + one_hot, outputCol=s + small, maxCategories=10) for s in named]]
     if hashed:
         stages.append(FeatureHasher(inputCols=list(hashed), outputCol=hashes, numFeatures=hash_size,
                                     categoricalCols=list(hashed)))

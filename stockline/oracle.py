@@ -1,11 +1,83 @@
-"""The catalogue's queries as DuckDB SQL over the same tables."""
+"""The catalogue's queries as DuckDB SQL over the same tables.
+
+Periods, groups, horizons and column names are written out here and not taken
+from the package, so that a wrong one there shows.
+"""
 
 from __future__ import annotations
 
-from stockline import spec
-from stockline.operators.averages import GRAINS
-from stockline.sources import tables
-from stockline.spec import RecencySpec, TrailingSpec
+from dataclasses import dataclass
+
+START_DEV, START_OOT, END = "1995-07-01", "2001-10-01", "2001-11-04"
+QUANTITY, SOLD = "TotalQtySale", "label"
+TRAILING_GROUPS = {
+    "mc": ("MaterialCode",),
+    "br": ("BranchCode",),
+    "mc_dow": ("MaterialCode", "DayOfWeek"),
+    "mc_pv": ("MaterialCode", "ProvinceEN"),
+    "mc_ds": ("MaterialCode", "DistrictEN"),
+    "cat_lv2": ("product_cat_lv2",),
+    "cat_lv2_pv": ("product_cat_lv2", "ProvinceEN"),
+    "cat_lv2_ds": ("product_cat_lv2", "DistrictEN"),
+    "cat_lv2_dow": ("product_cat_lv2", "DayOfWeek"),
+    "cat_lv2_br": ("product_cat_lv2", "BranchCode"),
+}
+RECENCY_GROUPS = {
+    "mc_br": ("MaterialCode", "BranchCode"),
+    "mc_ds": ("MaterialCode", "DistrictEN"),
+    "cat_lv2_ds": ("product_cat_lv2", "DistrictEN"),
+    "cat_lv2_br": ("product_cat_lv2", "BranchCode"),
+}
+GRAINS = {
+    "prediction_avg": ("BranchCode", "MaterialCode"),
+    "prediction_avg_dow": ("BranchCode", "MaterialCode", "DayOfWeek"),
+    "prediction_avg_month": ("BranchCode", "MaterialCode", "Month"),
+    "prediction_avg_all_store": ("MaterialCode",),
+    "prediction_avg_dow_all_store": ("MaterialCode", "DayOfWeek"),
+    "prediction_avg_month_all_store": ("MaterialCode", "Month"),
+}
+
+
+@dataclass(frozen=True)
+class Trailing:
+    name: str
+    group_cols: tuple[str, ...]
+    measures = ("TotalQtySale", "TotalNetSale")
+    horizons = (60, 90, 180)
+    ratios = ((90, 180),)
+    lag = 5
+
+    def column(self, m: str, stat: str, days: int, inc0: bool = False) -> str:
+        return f"{m}_{stat}_{days}d_{self.name}{'_inc0' if inc0 else ''}"
+
+    def ratio_column(self, m: str, a: int, b: int) -> str:
+        return f"{m}_sum_ratio_{a}d{b}d_{self.name}"
+
+    def columns(self) -> list[str]:
+        pairs = [(m, d) for m in self.measures for d in self.horizons]
+        return [self.column(m, "sum", d) for m, d in pairs] + [
+            self.column(m, stat, d, flag) for m, d in pairs for stat in ("avg", "stddev", "cv")
+            for flag in (False, True)] + [self.ratio_column(m, 90, 180) for m in self.measures]
+
+
+@dataclass(frozen=True)
+class Recency:
+    name: str
+    group_cols: tuple[str, ...]
+    horizons = (60, 90, 180)
+    lag = 5
+    longest = 90
+
+    @property
+    def run_column(self) -> str:
+        return f"zero_consc_{self.name}"
+
+    def max_column(self, days: int) -> str:
+        return f"zero_consc_max_{days}d_{self.name}"
+
+    def columns(self) -> list[str]:
+        return [self.run_column, *[self.max_column(d) for d in self.horizons]]
+
 
 KEYS = "OrderKey, LineNumber, MaterialCode, BranchCode"
 
@@ -53,8 +125,8 @@ holes AS (
   FROM sales)"""
 
 SPLIT = f"""
-train AS (SELECT * FROM sales WHERE "Date" < DATE '{tables.START_OOT}'),
-test AS (SELECT * FROM sales WHERE "Date" >= DATE '{tables.START_OOT}')"""
+train AS (SELECT * FROM sales WHERE "Date" < DATE '{START_OOT}'),
+test AS (SELECT * FROM sales WHERE "Date" >= DATE '{START_OOT}')"""
 
 
 def rnd(expression: str, digits: int = 6) -> str:
@@ -66,7 +138,7 @@ def quoted(columns) -> str:
     return ", ".join(f'"{c}"' for c in columns)
 
 
-def trailing_ctes(group: TrailingSpec, source: str = "sales") -> str:
+def trailing_ctes(group: Trailing, source: str = "sales") -> str:
     """Group-day rows to ``stats`` with every column of the grouping set."""
     g = quoted(group.group_cols)
     windows = ", ".join(
@@ -113,7 +185,7 @@ devs AS (SELECT *, {', '.join(roots)} FROM gaps WINDOW {windows}),
 stats AS (SELECT *, {', '.join(last)} FROM devs)"""
 
 
-def rounded_stats(group: TrailingSpec, columns=None) -> str:
+def rounded_stats(group: Trailing, columns=None) -> str:
     parts = []
     for c in columns or group.columns():
         digits = 3 if "_stddev_" in c else 6
@@ -121,12 +193,12 @@ def rounded_stats(group: TrailingSpec, columns=None) -> str:
     return ", ".join(parts)
 
 
-def trailing_sql(group: TrailingSpec, columns=None, where: str = "") -> str:
+def trailing_sql(group: Trailing, columns=None, where: str = "") -> str:
     return (f'WITH {FULL},{trailing_ctes(group)} SELECT {quoted(group.group_cols)}, "Date", '
             f"{rounded_stats(group, columns)} FROM stats {where}")
 
 
-def recency_ctes(group: RecencySpec) -> str:
+def recency_ctes(group: Recency) -> str:
     g = quoted(group.group_cols)
 
     def frame(first: int) -> str:
@@ -144,7 +216,7 @@ runs AS (SELECT *, CAST(coalesce(datediff('day', last_sell_date, "Date") - {grou
 longest AS (SELECT *, {longest} FROM runs)"""
 
 
-def recency_sql(group: RecencySpec, columns=None) -> str:
+def recency_sql(group: Recency, columns=None) -> str:
     return (f'WITH {FULL},{recency_ctes(group)} SELECT {quoted(group.group_cols)}, "Date", '
             f"{quoted(columns or group.columns())} FROM longest")
 
@@ -201,12 +273,12 @@ stores AS (
          CASE WHEN s_acctbal < 5000 THEN 'small' ELSE 'large' END AS StoreType
   FROM supplier WHERE s_acctbal >= 0)"""
 
-TRAILING = {n: TrailingSpec(n, g) for n, g in spec.TRAILING_GROUPS.items()}
-RECENCY = {n: RecencySpec(n, g) for n, g in spec.RECENCY_GROUPS.items()}
+TRAILING = {n: Trailing(n, g) for n, g in TRAILING_GROUPS.items()}
+RECENCY = {n: Recency(n, g) for n, g in RECENCY_GROUPS.items()}
 BRAND, PLACE, RUNS = TRAILING["cat_lv2"], TRAILING["cat_lv2_pv"], RECENCY["cat_lv2_br"]
 
 
-def named(group: TrailingSpec, stat: str, kinds: tuple[bool, ...]) -> list[str]:
+def named(group: Trailing, stat: str, kinds: tuple[bool, ...]) -> list[str]:
     return [group.column(m, stat, d, k) for m in group.measures for d in group.horizons for k in kinds]
 
 
@@ -234,7 +306,7 @@ def feature_sql() -> dict[str, str]:
         FROM sales LEFT JOIN (SELECT MaterialCode, "Date", {quoted(mc.columns())} FROM stats) s
         USING (MaterialCode, "Date")"""
     out["ts_agg_scoring_day"] = trailing_sql(
-        BRAND, where=f"WHERE \"Date\" BETWEEN DATE '{tables.START_OOT}' AND DATE '{tables.END}'")
+        BRAND, where=f"WHERE \"Date\" BETWEEN DATE '{START_OOT}' AND DATE '{END}'")
     r = quoted(RUNS.group_cols)
     out |= {
         "group_day_flag": f'WITH {FULL},{recency_ctes(RUNS)} SELECT {r}, "Date", label FROM flags',
@@ -253,7 +325,7 @@ def feature_sql() -> dict[str, str]:
 
 
 def cleaning_sql() -> dict[str, str]:
-    bounds = f"DATE '{tables.START_DEV}'", f"DATE '{tables.START_OOT}'", f"DATE '{tables.END}'"
+    bounds = f"DATE '{START_DEV}'", f"DATE '{START_OOT}'", f"DATE '{END}'"
     dev, oot, end = (f"last_day({b})" for b in bounds)
     return {
         "project_rename": "SELECT l_partkey AS item, l_suppkey AS store, l_quantity AS quantity FROM lineitem",
@@ -283,7 +355,7 @@ def cleaning_sql() -> dict[str, str]:
             CASE WHEN TotalQtySale > 25 THEN 1 ELSE 0 END AS label FROM holes""",
         "month_end": f'WITH {FULL} SELECT {KEYS}, "Date", Date_EOM FROM sales',
         "time_split": f"""WITH {FULL} SELECT {KEYS}, "Date",
-            CASE WHEN "Date" < DATE '{tables.START_OOT}' THEN 'train' ELSE 'test' END AS part FROM sales""",
+            CASE WHEN "Date" < DATE '{START_OOT}' THEN 'train' ELSE 'test' END AS part FROM sales""",
         "oot_split": f"""WITH {FULL} SELECT {KEYS}, "Date", Date_EOM,
             CASE WHEN Date_EOM < {oot} THEN 'dev' ELSE 'oot' END AS part
             FROM sales WHERE Date_EOM BETWEEN {dev} AND {end}""",
@@ -303,6 +375,8 @@ def cleaning_sql() -> dict[str, str]:
 
 def dimension_sql() -> dict[str, str]:
     flags = ", ".join(f"{flag_sql(c)} AS {c}" for c in ("RF_A", "RF_R", "LS_F", "LS_O"))
+    frequent = ", ".join(f"CAST(CASE WHEN list_contains(codes, '{c}') THEN {flag_sql(c)} ELSE 0 END AS INTEGER) AS {c}"
+                         for c in ("RF_A", "RF_R", "LS_F", "LS_O"))
     split_codes = "SELECT unnest(string_split(types, '|')) AS code FROM base"
     codes = f"SELECT code, count(*) AS n FROM ({split_codes}) WHERE code <> 'NORMAL' GROUP BY 1"
     items = "SELECT MaterialCode AS code, count(*) AS n FROM base GROUP BY 1"
@@ -323,14 +397,14 @@ def dimension_sql() -> dict[str, str]:
             SELECT code, n, CAST(sum(n) OVER (ORDER BY n DESC) AS BIGINT) AS cumsum FROM counts""",
         "sort_desc": f"""WITH {FULL} SELECT BranchCode AS code, count(*) AS n FROM base GROUP BY 1
             ORDER BY n DESC, code""",
-        "basic_features": f"""WITH {cut_ctes(codes)},
+        "basic_features": f"""WITH {cut_ctes(codes)},{lat_long_ctes()},
             kept AS (SELECT list(code) AS codes FROM cum WHERE cumsum / total <= 0.8),{STORES}
             SELECT {KEYS}, "Date", Date_EOM, TotalQtySale, CAST(TotalNetSale AS DOUBLE) AS TotalNetSale, label,
               {rnd('avgPrice')} AS avgPrice, {rnd('avgPriceDis')} AS avgPriceDis, {rnd('supPrice')} AS supPrice,
               ZipCode, ProvinceEN, DistrictEN, {CALENDAR}, product_cat_lv2, product_cat_lv1,
-              CAST(len(list_intersect(string_split(types, '|'), codes)) AS INTEGER) AS promo_flags,
+              {frequent}, latitude, longitude,
               YearOpened, MonthOpened, LocationCluster, StoreType, {price}
-            FROM sales LEFT JOIN stores USING (BranchCode) CROSS JOIN kept""",
+            FROM located LEFT JOIN stores USING (BranchCode) CROSS JOIN kept""",
     }
 
 
@@ -363,7 +437,7 @@ def average_sql() -> dict[str, str]:
     missed, rows, sold = "count(*) FILTER (p < y)", "count(*)", "nullif(count(*) FILTER (y > 0), 0)"
     rmsle = f"sqrt(avg({LOG_ERROR}))"
     short = "sum(greatest(y - p, 0)) / sum(y)"
-    out["eval_metrics"] = metric_sql(spec.QUANTITY, {
+    out["eval_metrics"] = metric_sql(QUANTITY, {
         "rmse": "sqrt(avg(pow(p - y, 2)))",
         "mse": "avg(pow(p - y, 2))",
         "r2": "1 - avg(pow(p - y, 2)) / var_pop(y)",
@@ -375,19 +449,42 @@ def average_sql() -> dict[str, str]:
         "percent_oos_sale": f"100 * {missed} / {sold}",
         "percent_sales_oos": short,
     })
-    out["oos_metrics"] = metric_sql(spec.SOLD, {
+    out["oos_metrics"] = metric_sql(SOLD, {
         "percent_oos": f"100 * {missed} / {rows}",
         "percent_oos_sold": f"100 * count(*) FILTER (p < y AND y <> 0) / {rows}",
         "percent_oos_sale": f"100 * {missed} / {sold}",
         "percent_sales_oos": short,
     })
-    out["mape_zero_safe"] = metric_sql(spec.SOLD, {
+    out["mape_zero_safe"] = metric_sql(SOLD, {
         "mape_zero_safe": "100 * avg(abs(CASE WHEN y <> 0 THEN abs(y - p) / y "
                           "ELSE p / (SELECT avg(y) FROM yp) END))"})
-    out["smape"] = metric_sql(spec.SOLD, {"smape": "avg(100 * abs(p - y) / nullif((p + y) / 2, 0))"})
+    out["smape"] = metric_sql(SOLD, {"smape": "avg(100 * abs(p - y) / nullif((p + y) / 2, 0))"})
     return out
 
 
+def full_sql() -> str:
+    """Each group's statistics on their own, joined to the fact one after another."""
+    doubles = ["avgPriceDis", "avgPrice", "supPrice"]
+    plain = ["DayOfMonth", "DayOfWeek", "Quarter", "MonthQuarter", "Month", "WeekOfYear", "YearOpened", "MonthOpened",
+             "LocationCluster", "StoreType", "ProvinceEN", "DistrictEN", "product_cat_lv1", "product_cat_lv2",
+             "latitude", "longitude"]
+    price = {"revenue": "avgPrice - supPrice", "discount": "avgPrice - avgPriceDis",
+             "percentage_discount": "100 * ((avgPrice - avgPriceDis) / nullif(avgPrice, 0))"}
+    flags = [f"{flag_sql(c)} AS {c}" for c in ("RF_A", "RF_R", "LS_F", "LS_O")]
+    joins, columns = [], []
+    for n, group in enumerate([*TRAILING.values(), *RECENCY.values()]):
+        g = quoted(group.group_cols)
+        trailing = isinstance(group, Trailing)
+        body = (f"WITH {trailing_ctes(group)} SELECT {g}, \"Date\", {rounded_stats(group)} FROM stats" if trailing
+                else f"WITH {recency_ctes(group)} SELECT {g}, \"Date\", {quoted(group.columns())} FROM longest")
+        joins.append(f'LEFT JOIN ({body}) t{n} USING ({g}, "Date")')
+        columns += group.columns()
+    basic = [f"{rnd(c)} AS {c}" for c in doubles] + [f"{rnd(e)} AS {c}" for c, e in price.items()] + plain + flags
+    return f"""WITH {FULL},{lat_long_ctes()},{STORES}
+SELECT {KEYS}, "Date", Date_EOM, located.TotalQtySale, {', '.join(basic)}, {', '.join(columns)}
+FROM located LEFT JOIN stores USING (BranchCode) {' '.join(joins)}"""
+
+
 def store_sql() -> dict[str, str]:
     days = """days AS (SELECT product_cat_lv2, "Date", sum(TotalQtySale) AS TotalQtySale,
         last_day("Date") AS Date_EOM FROM sales GROUP BY 1, 2)"""
@@ -397,6 +494,10 @@ def store_sql() -> dict[str, str]:
             WHERE "Date" BETWEEN DATE '1996-02-10' AND DATE '2000-06-20'""",
         "fs_replace_month": f"""WITH {FULL}, {days} SELECT product_cat_lv2, "Date", Date_EOM,
             CASE WHEN Date_EOM = DATE '1998-05-31' THEN -TotalQtySale ELSE TotalQtySale END AS TotalQtySale FROM days""",
+        "fs_second_period": f"""WITH {FULL}, {days} SELECT * FROM days
+            WHERE "Date" BETWEEN DATE '1997-01-01' AND DATE '1997-06-30'""",
+        "fs_replace_empty_month": f"""WITH {FULL} SELECT {full_row}, Date_EOM, TotalQtySale FROM base
+            WHERE "Date" BETWEEN DATE '1997-01-01' AND DATE '1997-06-30' AND month("Date") <> 2""",
         "fs_missing_months": f"""WITH {FULL} SELECT DISTINCT Date_EOM FROM base
             WHERE month("Date") IN (2, 7) AND year("Date") > 1996""",
         "combine_features": f"""WITH {FULL},{lat_long_ctes()},{trailing_ctes(BRAND)},{recency_ctes(RUNS)}
@@ -407,6 +508,7 @@ def store_sql() -> dict[str, str]:
               USING (product_cat_lv2, "Date")
             LEFT JOIN (SELECT product_cat_lv2, BranchCode, "Date", {quoted(RUNS.columns())} FROM longest) r
               USING (product_cat_lv2, BranchCode, "Date")""",
+        "full_features": full_sql(),
         "key_uniqueness": f"""WITH {FULL} SELECT OrderKey, LineNumber, count(*) AS n FROM base
             GROUP BY 1, 2 HAVING count(*) > 1""",
         "scoring_day_rows": f"""WITH {FULL} SELECT {full_row}, TotalQtySale FROM base
@@ -414,6 +516,14 @@ def store_sql() -> dict[str, str]:
             WHERE "Date" = DATE '2001-10-20'""",
         "csv_scan": f"""WITH {FULL} SELECT CAST(BranchCode AS VARCHAR) AS BranchCode,
             CAST(MaterialCode AS VARCHAR) AS MaterialCode, "Date", TotalQtySale, types FROM base""",
+        "stratified_split": f"""WITH {FULL} SELECT {full_row}, label,
+            CASE WHEN CAST('0x' || substr(md5(concat_ws('|', 42, label, OrderKey, LineNumber, MaterialCode, BranchCode,
+              strftime("Date", '%Y-%m-%d'))), 1, 8) AS BIGINT) < round(0.3 * 4294967296)
+            THEN 'sample' ELSE 'rest' END AS part FROM base""",
+        "score_two_days": " UNION ALL ".join(f"""(WITH {FULL} SELECT {call} AS call, {KEYS},
+            DATE '{day}' AS "Date", TRUE AS predicted FROM base
+            WHERE "Date" = DATE '{day}' OR "Date" = DATE '{day}' - 7)"""
+            for call, day in enumerate(("2001-10-20", "2001-10-27", "2001-11-01"), 1)),
         "anti_remainder": f"""WITH {FULL} SELECT {full_row}, label FROM base WHERE label <> 1""",
     }
 
@@ -435,16 +545,13 @@ clustered AS (SELECT * FROM comp UNION ALL SELECT * FROM border)"""
 
 
 def density_sql() -> dict[str, str]:
-    side = "CAST(0.01 AS DOUBLE) / sqrt(2) * (1 - CAST(1e-9 AS DOUBLE))"
     return {
         "pairwise_distance": """WITH gaps AS (
             SELECT a.vec_id AS id, unnest(CAST(a.embedding AS DOUBLE[])) - unnest(CAST(b.embedding AS DOUBLE[])) AS g
             FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1)
             SELECT id, round(sqrt(sum(g * g)), 5) AS euclidian, round(sum(abs(g)), 5) AS manhattan,
             round(sum(g * g), 5) AS fast_euclidian FROM gaps GROUP BY id""",
-        "eps_neighbors": f"""{DENSITY},
-            cells AS (SELECT *, count(*) OVER (PARTITION BY floor(x / ({side})), floor(y / ({side}))) AS n FROM p)
-            SELECT a AS id, b AS other FROM e JOIN cells ON a = id WHERE n < 5""",
+        "eps_neighbors": f"{DENSITY} SELECT a AS id, b AS other FROM e WHERE a NOT IN (SELECT id FROM core)",
         "core_points": f"{DENSITY} SELECT id FROM core",
         "dbscan_clusters": f"{DENSITY} SELECT id AS point, component FROM clustered",
         "dbscan_noise": f"{DENSITY} SELECT id FROM p WHERE id NOT IN (SELECT id FROM clustered)",
@@ -465,6 +572,18 @@ def model_sql() -> dict[str, str]:
             FROM sales GROUP BY 1)
             SELECT {KEYS}, "Date", product_cat_lv2, CAST(place AS DOUBLE) AS product_cat_lv2_idx
             FROM sales JOIN ranked USING (product_cat_lv2)""",
+        "rf_forecast": f"""WITH {FULL} SELECT {KEYS}, "Date", TotalQtySale, TRUE AS inside FROM base
+            WHERE Date_EOM BETWEEN last_day(DATE '{START_OOT}') AND last_day(DATE '{END}')""",
+        "feature_importance": """SELECT TRUE AS adds_up, TRUE AS positive, TRUE AS reaches_one,
+            TRUE AS names_differ, TRUE AS falls""",
+        "gbt_forecast": f"""WITH {FULL},{SPLIT} SELECT OrderKey, LineNumber,
+            CAST(MaterialCode AS VARCHAR) AS MaterialCode, CAST(BranchCode AS VARCHAR) AS BranchCode, "Date",
+            TotalQtySale, TRUE AS predicted FROM test WHERE types IN (SELECT types FROM train)""",
+        "embedding_vectors": f"""WITH {FULL}, levels AS (
+            SELECT DISTINCT 'product_cat_lv2' AS "column", product_cat_lv2 AS category FROM sales
+            UNION ALL SELECT DISTINCT 'DistrictEN', DistrictEN FROM sales
+            UNION ALL SELECT DISTINCT 'DayOfWeek', CAST(DayOfWeek AS VARCHAR) FROM sales)
+            SELECT *, 4 AS size, TRUE AS finite FROM levels""",
         "embedding_lookup": f"""WITH {FULL} SELECT {KEYS}, "Date", product_cat_lv2, DayOfWeek,
             {number} / 2 AS product_cat_lv2_embed0, -{number} / 4 AS product_cat_lv2_embed1,
             CAST(1 AS DOUBLE) AS product_cat_lv2_embed2, CAST({weekday.format(1.5)} AS DOUBLE) AS DayOfWeek_embed0,

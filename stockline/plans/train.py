@@ -19,7 +19,7 @@ from stockline.spec import FeaturePlan
 
 log = logging.getLogger(__name__)
 
-BASIC, LAT_LONG = "basic_ft", "lat_long_ft"
+BASIC = "basic_ft"
 
 
 @dataclass(frozen=True)
@@ -66,15 +66,12 @@ def save_rollups(base: DataFrame, store: FeatureStore, plan: FeaturePlan, start,
     return rolled
 
 
-def save_features(base: DataFrame, sides: dims.Dimensions, store: FeatureStore, plan: FeaturePlan,
-                  start, end, overwrite: bool) -> list[FeatureTable]:
+def save_features(base: DataFrame, store: FeatureStore, plan: FeaturePlan, start, end,
+                  overwrite: bool) -> list[FeatureTable]:
     """One table per feature set, trailing and recency at the grain of group and day."""
-    store.save_feature(base, dims.lat_long_feature, LAT_LONG, start, end, overwrite,
-                       lat_long=sides.lat_long, keys=plan.keys)
-    saved = [FeatureTable(LAT_LONG, tuple(plan.keys))]
     wanted = [(f"ts_agg_{g.name}_ft", trailing.trailing_features, g) for g in plan.trailing]
     wanted += [(f"consc_{g.name}_ft", recency.recency_features, g) for g in plan.recency]
-    saved += [FeatureTable(name, group.group_cols) for name, _, group in wanted]
+    saved = [FeatureTable(name, group.group_cols, unique=True) for name, _, group in wanted]
     due = [w for w in wanted if overwrite or not store.exists(w[0], start, end)]
     rolled = save_rollups(base, store, plan, start, end) if due else {}
     for name, feature, group in due:
@@ -109,7 +106,7 @@ def train(sales: DataFrame, sides: dims.Dimensions, store: FeatureStore, model_f
     known = path_exists(spark, f"{root}/made_for") and spark.read.text(f"{root}/made_for", wholetext=True).first()
     overwrite_model = overwrite_model or not known or known[0].strip() != made_for
     base = save_basic(sales, sides, store, periods.start, periods.end, promo_cutoff, overwrite_features)
-    saved = save_features(base, sides, store, plan, periods.dev, periods.end, overwrite_features)
+    saved = save_features(base, store, plan, periods.dev, periods.end, overwrite_features)
     wide = store.combine(base, saved, periods.dev, periods.end, save_mode, months_per_commit=months_per_commit)
     rows = model_rows(wide, plan)
     log.info("%d model inputs", len(plan.numbers()) + len(plan.categories))

@@ -29,6 +29,18 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def on_file(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it from there.
+
+    A joined or grouped side is planned by an estimate that can be far above
+    its true size; a file's size is known, so Spark decides by that whether to
+    broadcast it.
+    """
+    path = fresh_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to reliable storage and continue from there.
 

@@ -32,10 +32,19 @@ class DuplicateKeys(ValueError):
 
 @dataclass(frozen=True)
 class FeatureTable:
-    """A stored table and the columns, besides day and month, that identify a row."""
+    """A stored table and the columns, besides day and month, that identify a row.
+
+    ``unique``: it was made by grouping on exactly these columns, so its keys
+    need no check.
+    """
 
     name: str
     on: tuple[str, ...]
+    unique: bool = False
+
+    def key(self) -> tuple[str, ...]:
+        """The columns that identify a row once its day is known."""
+        return tuple(sorted(set(self.on) - set(spec.CALENDAR)))
 
 
 @dataclass(frozen=True)
@@ -143,11 +152,12 @@ class FeatureStore:
         """Join every feature table to the fact, store the result by month and return the period's rows.
 
         Each commit covers ``months_per_commit`` months, so an interrupted run
-        resumes with the first missing one. Feature tables are checked for
-        repeated keys before anything is written: rows can neither be lost nor
+        resumes with the first missing one. Feature tables are checked once for
+        repeated keys, before anything is written: rows can neither be lost nor
         multiplied by the left joins.
         """
         months = self.months_to_write(name, start, end, save_mode)
+        self.check_keys([f for f in features if not f.unique], months)
         for at in range(0, len(months), months_per_commit):
             batch = months[at:at + months_per_commit]
             wide = self.assemble(df.filter(F.col(self.month).isin(batch)), features, batch)
@@ -156,17 +166,31 @@ class FeatureStore:
         return in_period(self.read(name), start, end, self.date, self.month)
 
     def assemble(self, df: DataFrame, features: Sequence[FeatureTable], months: Sequence[dt.date]) -> DataFrame:
-        tables = {f: self.read(f.name).filter(F.col(self.month).isin(list(months))) for f in features}
-        self.check_keys(tables)
-        for feature, table in tables.items():
-            df = df.join(table, [*feature.on, self.date, self.month], "left")
+        """The rows of ``df`` with the columns of all tables.
+
+        Tables with the same key are joined to each other first, at their own
+        small size, so the fact is shuffled once per key and not once per table.
+        """
+        merged: dict[tuple[str, ...], DataFrame] = {}
+        for feature in features:
+            key = feature.key()
+            table = self.months_of(feature.name, months).drop(*set(feature.on) - set(key))
+            on = [*key, self.date, self.month]
+            merged[key] = merged[key].join(table, on, "full") if key in merged else table
+        for key, table in merged.items():
+            df = df.join(table, [*key, self.date, self.month], "left")
         return df
 
-    def check_keys(self, tables: dict[FeatureTable, DataFrame]) -> None:
+    def months_of(self, name: str, months: Sequence[dt.date]) -> DataFrame:
+        return self.read(name).filter(F.col(self.month).isin(list(months)))
+
+    def check_keys(self, features: Sequence[FeatureTable], months: Sequence[dt.date]) -> None:
         """Fail on a repeated key. One job reads the key columns of all tables."""
+        if not months:
+            return
         checks = [
-            repeated_keys(t, [*f.on, self.date, self.month]).select(F.lit(f.name).alias("table"))
-            for f, t in tables.items()]
+            repeated_keys(self.months_of(f.name, months), [*f.key(), self.date, self.month])
+            .select(F.lit(f.name).alias("table")) for f in features]
         if not checks:
             return
         found = checks[0]

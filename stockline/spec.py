@@ -54,6 +54,9 @@ RECENCY_GROUPS = {
     "cat_lv2_br": (CATEGORY_2, "BranchCode"),
 }
 
+# --- Fixed values: columns that follow from the date ------------------------
+CALENDAR = ("Yearday", "Month", "DayOfWeek", "DayOfMonth", "Year", "Quarter", "WeekOfYear", "MonthQuarter")
+
 # Roll-ups per day that the grouping sets are derived from: each is read many
 # times in place of the fact.
 ROLLUPS = {

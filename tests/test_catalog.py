@@ -9,19 +9,20 @@ sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1] / "tools"))
 
 import __spark_entry__ as contract  # noqa: E402
 import compare  # noqa: E402
+from stockline.catalog import QUERIES  # noqa: E402
+from stockline.oracle import oracle_queries  # noqa: E402
 
-ROWS_ONLY = {"stratified_split", "rf_forecast", "gbt_forecast", "feature_importance", "embedding_vectors"}
 SAMPLE = [
     "trailing_counts", "ts_agg_cat_lv2_dow", "ts_agg_scoring_day", "consc_cat_lv2_br", "cast_types", "null_audit",
     "clean_province", "month_calendar", "lat_long", "basic_features", "freq_cut_categorical", "cumsum_share",
     "baseline_grouping_sets", "eval_metrics", "oos_metrics", "mape_zero_safe", "fs_missing_months",
-    "scoring_day_rows", "core_points", "string_index", "promo_embedding",
+    "scoring_day_rows", "fs_second_period", "fs_replace_empty_month", "eps_neighbors", "stratified_split", "core_points", "string_index", "promo_embedding",
 ]
 
 
-def test_every_query_has_sql_or_is_known_not_to():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == ROWS_ONLY
-    assert set(contract.oracle_sql()) <= set(contract.queries())
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(oracle_queries())
+    assert set(QUERIES) <= set(contract.queries()) and set(oracle_queries()) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

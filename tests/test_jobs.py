@@ -68,7 +68,8 @@ def test_scoring(spark, fact, sides, trained):
     assert scored.filter("prediction is null").isEmpty()
     assert {r.Date for r in scored.select("Date").distinct().collect()} == {day}
     path = score.score_to_csv(scored, fresh_folder(spark, "out"), day)
-    assert path.endswith("demand_forecasting_scoring_2001-10-27.csv")
+    assert path.endswith("forecast_2001-10-27")
+    assert spark.read.option("header", True).csv(path).count() == scored.count()
 
 
 def test_scoring_lag_reaches_every_feature():
