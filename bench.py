@@ -1,4 +1,7 @@
-"""Time the headline queries and print one JSON line."""
+"""Time the headline queries, the better of two runs each after a warm-up, and print one JSON line.
+
+``queries`` are whole times, ``build`` the part before the result is asked for: planning and eager steps.
+"""
 
 from __future__ import annotations
 
@@ -32,15 +35,22 @@ def main() -> None:
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{folder}/lineitem.parquet").count()
-    seconds = {}
-    for name in sys.argv[1:] or HEADLINE:
+
+    def run(name: str) -> tuple[float, float]:
         began = time.perf_counter()
-        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - began, 3)
-        print(name, seconds[name], file=sys.stderr, flush=True)
+        df = QUERIES[name](spark, folder)
+        built = time.perf_counter()
+        df.write.format("noop").mode("overwrite").save()
+        return round(time.perf_counter() - began, 3), round(built - began, 3)
+
+    run(HEADLINE[0])
+    seconds, build = {}, {}
+    for name in sys.argv[1:] or HEADLINE:
+        seconds[name], build[name] = min(run(name), run(name))
+        print(name, seconds[name], build[name], file=sys.stderr, flush=True)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
-        "queries": seconds, "sf": float(os.path.basename(folder.rstrip("/")).removeprefix("sf") or 0)}))
+        "queries": seconds, "build": build, "sf": float(os.path.basename(folder.rstrip("/")).removeprefix("sf") or 0)}))
 
 
 if __name__ == "__main__":
