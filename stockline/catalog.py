@@ -647,9 +647,9 @@ def feature_importance(spark, folder):
     ranked = table.agg(F.sum("importance").alias("total"), F.min("importance").alias("least"),
                        F.max("cumsum").alias("reached"), F.count(F.lit(1)).alias("n"),
                        F.count_distinct("feature_name").alias("names"),
-                       F.sort_array(F.collect_list(F.struct("cumsum", "importance"))).alias("steps"))
+                       F.sort_array(F.collect_list(F.struct("cumsum", (-F.col("importance")).alias("fall")))).alias("steps"))
     falling = F.forall(F.sequence(F.lit(1), F.size("steps") - 1),
-                       lambda i: F.get("steps", i - 1)["importance"] >= F.get("steps", i)["importance"])
+                       lambda i: F.get("steps", i - 1)["fall"] <= F.get("steps", i)["fall"])
     return ranked.select((F.abs(F.col("total") - 1) < 1e-9).alias("adds_up"), (F.col("least") > 0).alias("positive"),
                          (F.abs(F.col("reached") - 1) < 1e-9).alias("reaches_one"),
                          (F.col("n") == F.col("names")).alias("names_differ"), falling.alias("falls"))
