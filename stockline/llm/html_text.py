@@ -11,8 +11,11 @@ branches at or above it belong to the text as well. Where the chosen node lies i
 
 Before counting, elements that never hold main text are left out: scripts,
 styles, navigation, asides, footers, forms and their controls, page headers, hidden
-elements, and elements whose class, id or role names an advert, menu, sidebar,
-notice, comment section or the like (unless they hold the article itself).
+elements, comment sections and comments with all they hold (unless that is the page's
+``h1`` or ``main``, or all its text), and elements whose class, id or role names an
+advert, menu, sidebar, notice or the like, if they do not hold the article itself. On
+pages without an article of some length, those with half of the unlinked text or more
+are left to the densities.
 
 Defined cases: null or empty html gives an empty text; html without a body is
 read as one; unclosed tags, comments and attributes end where a browser would
@@ -53,6 +56,11 @@ DROPPED_WORDS = frozenset(
     "breadcrumb breadcrumbs footer masthead banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter "
     "subscribe subscription signup social share sharing related recommended recommendations comment comments disqus respond replies "
     "widget widgets login pagination pager copyright disclaimer toolbar skip".split())
+COMMENT_WORDS = frozenset("comment comments disqus respond replies".split())
+# Words around them that tell of the whole page: has-comments, comments-open.
+_BEFORE_STATE, _AFTER_STATE = frozenset("no has with without hide show".split()), frozenset("open closed on off enabled disabled".split())
+# Shares of the page's unlinked text: what an element holds that its name cannot drop, and articles that make names safe.
+LARGE_SHARE, ARTICLE_SHARE = 1 / 2, 1 / 4
 CLOSES = {
     "p": frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
                    "h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()),
@@ -62,9 +70,17 @@ CLOSES = {
 _SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",)}
 
 
-def _named_out(attrs: str) -> tuple[bool, bool]:
-    """Whether the attributes hide the element, and whether they name it as something else than main text."""
-    hidden = named = False
+def _names_comments(value: str) -> bool:
+    for token in value.split():
+        words = re.findall("[a-z0-9]+", token)
+        if words and (words[0] in COMMENT_WORDS and words[-1] not in _AFTER_STATE or words[-1] in COMMENT_WORDS and words[0] not in _BEFORE_STATE):
+            return True
+    return False
+
+
+def _named_out(attrs: str) -> tuple[bool, bool, bool]:
+    """Whether the attributes hide the element, name it as something else than main text, and name it as comments."""
+    hidden = named = comments = False
     for key, *values in _ATTR.findall(attrs):
         key, value = key.lower(), "".join(values).lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
@@ -73,7 +89,8 @@ def _named_out(attrs: str) -> tuple[bool, bool]:
             named |= value in DROPPED_ROLES
         elif key in ("class", "id"):
             named |= not DROPPED_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", value))
-    return hidden, named
+            comments |= named and _names_comments(value)
+    return hidden, named, comments
 
 
 class _Tree:
@@ -129,11 +146,11 @@ class _Tree:
             self._close_implied(tag)
             self.pieces.append((-1, " "))
         node = len(self.tags)
-        hidden, named = _named_out(attrs) if attrs and not attrs.isspace() else (False, False)
+        hidden, named, comments = _named_out(attrs) if attrs and not attrs.isspace() else (False, False, False)
         self.tags.append(tag)
         self.parents.append(self._stack[-1])
         self.ends.append(node + 1)
-        self.outs.append(2 if hidden or tag in DROPPED and tag != "form" else 1 if named or tag == "form" or tag == "header" else 0)
+        self.outs.append(2 if hidden or tag in DROPPED and tag != "form" else 3 if comments else 1 if named or tag == "form" or tag == "header" else 0)
         if tag in VOID:
             return at
         self._stack.append(node)
@@ -151,18 +168,54 @@ class _Tree:
             self._pop()
 
 
-def _kept(tree: _Tree, by_name: bool) -> list[bool]:
-    """Which nodes stay; ``by_name``: elements with telling names go too, unless they hold the article."""
+def _unlinked(tree: _Tree, keep: list[bool]) -> list[int]:
+    """Characters outside links in the subtree of each node that stays."""
     n = len(tree.tags)
-    core = [t in ("article", "main", "h1", "body", "html") for t in tree.tags]
-    for i in range(n - 1, 0, -1):
-        core[tree.parents[i]] |= core[i]
-    keep = [True] * n
+    chars, linked = [0] * n, [False] * n
     for i in range(1, n):
-        out = tree.outs[i] == 2 or by_name and tree.outs[i] == 1 and not core[i]
-        if tree.tags[i] in ("html", "body", "article", "main"):
-            out = tree.outs[i] == 2
-        keep[i] = keep[tree.parents[i]] and not out
+        linked[i] = linked[tree.parents[i]] or tree.tags[i] == "a"
+    for node, text in tree.pieces:
+        if node >= 0 and keep[node] and not linked[node]:
+            chars[node] += len("".join(text.split()))
+    for i in range(n - 1, 0, -1):
+        chars[tree.parents[i]] += chars[i]
+    return chars
+
+
+def _holders(tree: _Tree, keep: list[bool], tags: tuple[str, ...]) -> list[bool]:
+    """Whether a node is or holds an element of ``tags`` that stays."""
+    holds = [k and t in tags for k, t in zip(keep, tree.tags, strict=True)]
+    for i in range(len(holds) - 1, 0, -1):
+        holds[tree.parents[i]] |= holds[i]
+    return holds
+
+
+def _kept(tree: _Tree, by_name: bool) -> list[bool]:
+    """Which nodes stay; ``by_name``: comments and elements with telling names go too, unless they hold the article or much text."""
+    def without(out: list[bool]) -> list[bool]:
+        keep = [True] * len(out)
+        for i in range(1, len(out)):
+            keep[i] = keep[tree.parents[i]] and not out[i]
+        return keep
+
+    out = [o == 2 for o in tree.outs]
+    keep = without(out)
+    whole = ("html", "body")
+    if by_name and 3 in tree.outs:
+        head = _holders(tree, keep, ("h1", "main"))
+        out = [gone or o == 3 and t not in whole and not h for gone, o, t, h in zip(out, tree.outs, tree.tags, head, strict=True)]
+        keep = without(out)
+    if by_name and not {1, 3}.isdisjoint(tree.outs):
+        core, chars = _holders(tree, keep, ("article", "main", "h1")), _unlinked(tree, keep)
+        held, i = 0, 1
+        while i < len(chars):
+            top = keep[i] and tree.tags[i] in ("article", "main")
+            held += chars[i] if top else 0
+            i = tree.ends[i] if top else i + 1
+        most = math.inf if held and held >= ARTICLE_SHARE * chars[0] else LARGE_SHARE * chars[0]
+        small = [c < most or not c for c in chars]
+        out = [gone or o in (1, 3) and t not in whole and not c and s for gone, o, t, c, s in zip(out, tree.outs, tree.tags, core, small, strict=True)]
+        keep = without(out)
     return keep
 
 
