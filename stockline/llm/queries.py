@@ -13,6 +13,8 @@ from stockline.llm.near_vectors import near_vectors
 from stockline.llm.quality import score_quality
 from stockline.llm.personal import KINDS, find_personal, joined
 from stockline.llm.html_text import extract_text
+from stockline.llm.manifest import audit_rows
+from stockline.llm.sql import manifest_sql
 from stockline.llm.url_filter import Rule, judge_sql, judge_urls
 from stockline.llm.warc import read_warc, write_warc
 from stockline.session import fresh_folder
@@ -81,6 +83,10 @@ def op7_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_rows(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0)
+
+
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 WARC_SQL = f"""
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
@@ -99,5 +105,6 @@ QUERIES = {"op1_warc": op1_warc, "op2_html_text": op2_html_text, "op3_url_filter
     "op6_near_vectors": op6_near_vectors,
     "op8_quality": op8_quality,
     "op7_personal": op7_personal,
+    "op13_manifest": op13_manifest,
 }
-ORACLE_SQL = {"op1_warc": WARC_SQL, "op3_url_filter": judge_sql(URL_RULES)}
+ORACLE_SQL = {"op1_warc": WARC_SQL, "op3_url_filter": judge_sql(URL_RULES), "op13_manifest": manifest_sql()}
