@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from stockline.llm.conversations import damaged, repair_conversations
 from stockline.llm.decontaminate import find_passages
 from stockline.llm.token_counts import count_tokens
 from stockline.llm.bpe import encode_decode
@@ -14,7 +15,7 @@ from stockline.llm.quality import score_quality
 from stockline.llm.personal import KINDS, find_personal, joined
 from stockline.llm.html_text import extract_text
 from stockline.llm.manifest import audit_rows
-from stockline.llm.sql import manifest_sql
+from stockline.llm.sql import conversations_sql, manifest_sql
 from stockline.llm.url_filter import Rule, judge_sql, judge_urls
 from stockline.llm.warc import read_warc, write_warc
 from stockline.session import fresh_folder
@@ -83,6 +84,12 @@ def op7_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    code = F.crc32(F.concat(part("conv_id"), F.lit(":"), part("turn")).cast("binary")) % 20
+    return repair_conversations(damaged(table(spark, sf_dir, "conversations"), code))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_rows(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0)
 
@@ -105,6 +112,8 @@ QUERIES = {"op1_warc": op1_warc, "op2_html_text": op2_html_text, "op3_url_filter
     "op6_near_vectors": op6_near_vectors,
     "op8_quality": op8_quality,
     "op7_personal": op7_personal,
+    "op12_conversations": op12_conversations,
     "op13_manifest": op13_manifest,
 }
-ORACLE_SQL = {"op1_warc": WARC_SQL, "op3_url_filter": judge_sql(URL_RULES), "op13_manifest": manifest_sql()}
+ORACLE_SQL = {"op1_warc": WARC_SQL, "op3_url_filter": judge_sql(URL_RULES), "op12_conversations": conversations_sql(),
+    "op13_manifest": manifest_sql()}
