@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from stockline.llm.context_mixing import score_texts
 from stockline.llm.conversations import damaged, repair_conversations
 from stockline.llm.decontaminate import find_passages
 from stockline.llm.token_counts import count_tokens
@@ -84,6 +85,11 @@ def op7_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+def op11_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0, F.lit(True))
+    return score_texts(table(spark, sf_dir, "documents"), learn)
+
+
 def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
     code = F.crc32(F.concat(part("conv_id"), F.lit(":"), part("turn")).cast("binary")) % 20
@@ -112,6 +118,7 @@ QUERIES = {"op1_warc": op1_warc, "op2_html_text": op2_html_text, "op3_url_filter
     "op6_near_vectors": op6_near_vectors,
     "op8_quality": op8_quality,
     "op7_personal": op7_personal,
+    "op11_context_mixing": op11_context_mixing,
     "op12_conversations": op12_conversations,
     "op13_manifest": op13_manifest,
 }
