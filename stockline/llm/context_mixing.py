@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stockline.llm.common import NOT_SPACE, WordHasher, give_back, lower_bytes, mix, stored
+from stockline.llm.common import NOT_SPACE, WordHasher, give_back, lower_bytes, mix, small_batches, stored
 
 ORDERS = 4
 END = 0xFF
@@ -36,8 +36,8 @@ CONTEXTS, WORDS = 0, 1
 WIDTH = 9  # eight log odds and the size of the context
 SCALE = 12.0  # steps per unit of log odds
 UNSEEN = 0.1  # added to both sides of a decision
-BLOCK_BYTES = 2 << 20  # texts looked at together
-MIX_BYTES = 192 << 10  # texts mixed together
+BLOCK_BYTES = 1 << 20  # texts looked at together
+MIX_BYTES = 64 << 10  # texts mixed together
 FIRST_STEP, LAST_STEP = 64, 4096
 RATE = 0.04
 LEVELS = 16  # of confidence, half a unit of log odds each
@@ -69,7 +69,7 @@ class Block:
             codes = np.empty(len(ids), dtype=np.int64)
             codes[0] = byte[0]
             codes[1:] = (ids[:-1].astype(np.int64) << 8) | byte[1:]
-            if len(keys) << 8 <= 1 << 25:
+            if len(keys) << 8 <= 1 << 23:
                 seen = np.zeros(len(keys) << 8, dtype=bool)
                 seen[codes] = True
                 found = np.flatnonzero(seen)
@@ -235,7 +235,7 @@ def row_sums(owners: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
 def _blocks(batches) -> Iterator[tuple[int, list[dict]]]:
     """Rows of one chunk, cut at about ``BLOCK_BYTES`` of text; other rows come alone."""
     held, size = [], 0
-    for batch in batches:
+    for batch in small_batches(batches, BLOCK_BYTES):
         for row in batch.to_pylist():
             if row["text"] is None or held and (held[0]["chunk"] != row["chunk"] or size + len(row["text"]) > BLOCK_BYTES):
                 if held:
