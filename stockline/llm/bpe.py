@@ -24,6 +24,7 @@ import heapq
 import json
 import unicodedata
 from array import array
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -118,7 +119,7 @@ class Bpe:
         # Numpy reads and writes the same memory as the loops below.
         symbols, after, before = array("i", begun.tobytes()), array("i", range(1, len(data) + 1)), array("i", range(-1, len(data) - 1))
         s, nxt, prv = (np.frombuffer(x, np.int32) for x in (symbols, after, before))
-        index: dict[int, list[int]] = {}
+        index: dict[int, array] = {}
         self._enter(index, s[:-1], s[1:], np.arange(len(data) - 1))
         active = list(index)
         heapq.heapify(active)
@@ -127,7 +128,7 @@ class Bpe:
             left, right = pairs[rank]
             new, todo = made[rank], index.pop(rank)
             if len(todo) >= AT_ONCE and left != right and rank >= self.settled:
-                p = np.unique(np.array(todo))
+                p = np.unique(np.frombuffer(todo, np.int32))
                 p = p[(s[p] == left)]
                 p = p[s[nxt[p]] == right]
                 q = nxt[p]
@@ -140,7 +141,7 @@ class Bpe:
                 for r in self._enter(index, np.concatenate([s[a], s[p]]), np.concatenate([s[p_left], s[q]]), np.concatenate([a, p])):
                     heapq.heappush(active, r)
                 continue
-            todo.sort()
+            todo = sorted(todo)
             for n, p in enumerate(todo):
                 if symbols[p] != left:
                     continue
@@ -157,38 +158,38 @@ class Bpe:
                             if r in index:
                                 index[r].append(a)
                             else:
-                                index[r] = [a]
+                                index[r] = array("i", (a,))
                                 heapq.heappush(active, r)
                 if active and active[0] < rank:  # a vocabulary may rank a new pair before this one
-                    index.setdefault(rank, []).extend(todo[n + 1:])
+                    index.setdefault(rank, array("i")).extend(todo[n + 1:])
                     heapq.heappush(active, rank)
                     break
         kept = s[s != -2]
         return [x[:-1].tolist() for x in np.split(kept, np.flatnonzero(kept == -1) + 1)[:-1]]
 
-    def _enter(self, index: dict[int, list[int]], lefts: np.ndarray, rights: np.ndarray, places: np.ndarray) -> list[int]:
+    def _enter(self, index: dict[int, array], lefts: np.ndarray, rights: np.ndarray, places: np.ndarray) -> list[int]:
         """Enter the places of pairs into the lists of their ranks; the ranks that had no list."""
         keys = lefts.astype(np.int64) << 32 | rights
         at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
         known = (self._keys[at] == keys) & (lefts >= 0) & (rights >= 0)
         found, places = self._key_ranks[at[known]], places[known]
         order = np.argsort(found, kind="stable")
-        found, places = found[order], places[order].tolist()
-        if not places:
+        found, places = found[order], places[order].astype(np.int32)
+        if not len(places):
             return []
         cuts = np.flatnonzero(np.diff(found, prepend=-1)).tolist()
         fresh = []
         for a, b in zip(cuts, [*cuts[1:], len(places)], strict=True):
             r = int(found[a])
             if r in index:
-                index[r] += places[a:b]
+                index[r].frombytes(places[a:b].tobytes())
             else:
-                index[r] = places[a:b]
+                index[r] = array("i", places[a:b].tobytes())
                 fresh.append(r)
         return fresh
 
-    def decode(self, ids: list[int]) -> str:
-        return " ".join(self.tokens[i] for i in ids)
+    def decode(self, ids: Iterable[int]) -> str:
+        return " ".join(map(self.tokens.__getitem__, ids))
 
 
 @functools.cache
@@ -206,22 +207,24 @@ def encode_decode(documents: DataFrame, vocabulary: str, id_col: str = "doc_id",
                 known.clear()
                 pool.clear()
                 give_back()
-            # Every word is held once, however often it occurs.
+            # Every word is held once, however often it occurs; its ids are kept, its decoded text follows from them.
             texts = [list(map(pool.setdefault, words, words)) for words in map(bpe.words, (x or "" for x in batch.column(1).to_pylist()))]
             new = [w for w in pool if w not in known]
             plain = [w for w in new if w[0] != "\x00" or w[1:] not in bpe.special]
             for word, ids in zip(plain, bpe.encode_words(plain), strict=True):
-                known[word] = (np.array(ids, "<u4").tobytes(), bpe.decode(ids))
+                known[word] = array("I", ids).tobytes()
             for word in set(new).difference(plain):
-                known[word] = (np.array([bpe.special[word[1:]]], "<u4").tobytes(), word[1:])
+                known[word] = array("I", (bpe.special[word[1:]],)).tobytes()
             ids, decoded = [], []
             for words in texts:
-                found = list(map(known.__getitem__, words))
-                ids.append(b"".join([x[0] for x in found]))
-                decoded.append(" ".join([x[1] for x in found]))
+                ids.append(b"".join(map(known.__getitem__, words)))
+                decoded.append(bpe.decode(memoryview(ids[-1]).cast("I")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())],
                 names=["doc_id", "n_tokens", "ids", "decoded"])
+        known.clear()
+        pool.clear()
+        give_back()
 
     own = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return own.mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")

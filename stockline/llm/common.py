@@ -73,7 +73,8 @@ class WordHasher:
     """64-bit hashes of words of one text, all at once.
 
     A word's hash is a polynomial in its bytes, read from one running sum
-    over the text; powers and their inverses modulo 2**64 are kept.
+    over the text; powers and their inverses modulo 2**64 are kept, but for
+    very long texts.
     """
 
     _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -81,20 +82,21 @@ class WordHasher:
     def __init__(self) -> None:
         self._bytes = mix(np.arange(1, 257, dtype=np.uint64) * self._STEP)
         self._inverse_step = np.uint64(pow(int(self._STEP), -1, 1 << 64))
-        self._up = self._down = np.ones(1, dtype=np.uint64)
+        self._kept = self._powers(1 << 16)
 
-    def _grow(self, size: int) -> None:
-        if size > len(self._up):
-            steps = np.full(max(size, 1 << 16), self._STEP, dtype=np.uint64)
-            back = np.full(len(steps), self._inverse_step, dtype=np.uint64)
-            steps[0] = back[0] = 1
-            self._up, self._down = np.cumprod(steps), np.cumprod(back)
+    def _powers(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        steps = np.full(size, self._STEP, dtype=np.uint64)
+        back = np.full(size, self._inverse_step, dtype=np.uint64)
+        steps[0] = back[0] = 1
+        return np.cumprod(steps), np.cumprod(back)
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        self._grow(len(data) + 1)
+        up, down = self._kept if len(data) < len(self._kept[0]) else self._powers(len(data) + 1)
+        if len(self._kept[0]) < len(up) <= 1 << 21:
+            self._kept = up, down  # those of longer texts are not kept
         running = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(self._bytes[data] * self._up[:len(data)], out=running[1:])
-        return mix((running[ends] - running[starts]) * self._down[starts] + (ends - starts).astype(np.uint64))
+        np.cumsum(self._bytes[data] * up[:len(data)], out=running[1:])
+        return mix((running[ends] - running[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
