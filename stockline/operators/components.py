@@ -1,34 +1,58 @@
-"""Connected components of an undirected graph by alternating star steps."""
+"""Connected components of an undirected graph by alternating star steps.
+
+A node with more than a ten-thousandth of all edges is heavy: there are fewer
+than ten thousand of them, so their list is broadcast, and the edges of each
+are dealt to as many parts as it takes to make them ordinary. No task reads
+more of one node's edges than that, whatever the shape of the graph. Rounds
+are written to the shared folder, and a round's copy is deleted when the next
+one stands.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from stockline.session import durable
+from stockline.session import on_new_path
+from stockline.sources.files import remove_path
+
+#: No node has more than this many heavy companions; the list of all of them is broadcast.
+MOST_HEAVY = 10_000
+#: A node of fewer edges is never heavy.
+ORDINARY = 64
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
-def _with_least(directed: DataFrame) -> DataFrame:
-    """Each edge with the smallest node among ``u`` and its neighbours.
+def dealt_edges(directed: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    """``directed`` with the part of its node that an edge belongs to, and each part with its node's smallest neighbour.
 
-    The minimum is aggregated and joined back, so a node with very many
-    neighbours is never gathered in one place.
+    ``rows`` is the number of edges, or a bound above it.
     """
-    least = directed.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("u", "least").alias("least"))
-    return directed.join(least, "u")
+    ordinary = max(ORDINARY, rows // MOST_HEAVY)
+    nodes = directed.groupBy("u").agg(F.min("v").alias("least"), F.ceil(F.count(F.lit(1)) / ordinary).alias("parts"))
+    least = nodes.select("u", F.least("u", "least").alias("least"), F.explode(F.sequence(F.lit(1).cast("long"), "parts")).alias("part"))
+    heavy = nodes.filter("parts > 1").select("u", "parts")
+    dealt = directed.join(F.broadcast(heavy), "u", "left").select(
+        "u", "v", F.coalesce(F.pmod(F.xxhash64("v"), "parts") + 1, F.lit(1).cast("long")).alias("part"))
+    return dealt, least
+
+
+def _with_least(directed: DataFrame, rows: int) -> DataFrame:
+    """Each edge with the smallest node among ``u`` and its neighbours."""
+    dealt, least = dealt_edges(directed, rows)
+    return dealt.join(least, ["u", "part"]).select("u", "v", "least")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    linked = _with_least(_both_ways(edges))
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
+    linked = _with_least(_both_ways(edges), 2 * rows)
     return linked.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("least").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    linked = _with_least(down)
+    linked = _with_least(down, rows)
     moved = linked.select(F.col("v").alias("u"), F.col("least").alias("v"))
     own = linked.select("u", F.col("least").alias("v"))
     return moved.unionAll(own)
@@ -50,14 +74,17 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node")
     flatter stars; it ends when a round changes nothing, each node then being
     linked to its smallest one directly.
     """
-    current = durable(_tidy(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))))
+    spark = nodes.sparkSession
+    current, path = on_new_path(_tidy(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))), "stars")
     before = None
     while True:
         mark = _fingerprint(current)
         if mark == before or mark[0] == 0:
             break
-        before = mark
-        current = durable(_tidy(_small_star(_large_star(current))))
+        before, old = mark, path
+        # A large star makes no more edges than both directions of what it is given.
+        current, path = on_new_path(_tidy(_small_star(_large_star(current, mark[0]), 2 * mark[0])), "stars")
+        remove_path(spark, old)
     roots = current.groupBy(F.col("u").alias(node)).agg(F.min("v").alias("component"))
     return (nodes.select(node).join(roots, node, "left")
             .select(node, F.coalesce("component", node).alias("component")))

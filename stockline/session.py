@@ -36,9 +36,14 @@ def on_file(df: DataFrame, name: str) -> DataFrame:
     its true size; a file's size is known, so Spark decides by that whether to
     broadcast it.
     """
+    return on_new_path(df, name)[0]
+
+
+def on_new_path(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``on_file``, with the path, for callers that delete the copy later."""
     path = fresh_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def durable(df: DataFrame) -> DataFrame:
