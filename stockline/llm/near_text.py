@@ -5,7 +5,7 @@ set of its runs of ``shingle`` words. Two sets are linked if 100 times their
 common elements are at least ``percent`` times their union, and the result is
 the components of these links.
 
-1. Documents with equal sets form a class; only its smallest id goes on.
+1. Documents with equal sets form a class; only one text of it goes on.
 2. ``trees`` orders: in each, a class has a label of ``depth`` min-hash values. Classes
    that share a label's first ``least`` values form a region; classes alone in
    all their regions are done.
@@ -25,7 +25,7 @@ pairs from an estimate of 15 points below the limit. No candidate, partner or re
 
 Defined cases: a document of fewer words than a shingle is one shingle; null texts
 and texts without words are empty sets and linked with nothing; rows without an
-id are linked with nothing; rows that share an id are one node, linked by any of their texts.
+id are linked with nothing; classes that share an id are linked, unless ``ids_link`` is off; repeated rows add nothing.
 """
 
 from __future__ import annotations
@@ -117,13 +117,31 @@ def _sign(docs: DataFrame, shingle: int, values: int) -> DataFrame:
             for text in batch.column(1).to_pylist():
                 found = shingle_set(hasher, text, shingle)
                 sizes.append(len(found))
-                keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
+                keys.append(_key(found))
                 sigs.append(min_hashes(found, values).tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
-                names=["doc_id", "n_shingles", "key", "sig"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), batch.column(2)],
+                names=["doc_id", "n_shingles", "key", "sig", "row_key"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, key binary, sig binary")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, key binary, sig binary, row_key long")
+
+
+def _key(elements: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(elements.tobytes(), digest_size=16).digest() if len(elements) else None
+
+
+def shared_ids(members: DataFrame, classes: DataFrame, id_col: str, key: str) -> DataFrame:
+    """Links ``(u, v)`` between classes (``key``, ``rep``) that hold rows of one id."""
+    several = members.groupBy(id_col).agg(F.min(key).alias("least"), F.max(key).alias("most")).filter("least <> most").select(id_col)
+    held = members.join(several, id_col, "left_semi").select(id_col, key).distinct().join(classes.select(key, "rep"), key).select(id_col, "rep")
+    return held.join(held.groupBy(id_col).agg(F.min("rep").alias("v")), id_col).filter("rep <> v").select(F.col("rep").alias("u"), "v")
+
+
+def named_components(classes: DataFrame, comps: DataFrame) -> DataFrame:
+    """``(rep, component_id, chosen)``: the smallest id of each class's component, and the one class that stands for it."""
+    placed = comps.join(classes.select("rep", "first_id"), "rep")
+    names = placed.groupBy("component").agg(F.min(F.struct("first_id", "rep")).alias("name"))
+    return placed.join(names, "component").select("rep", F.col("name.first_id").alias("component_id"), (F.col("name.rep") == F.col("rep")).alias("chosen"))
 
 
 def _labels(classes: DataFrame, trees: int, depth: int, least: int) -> DataFrame:
@@ -245,17 +263,20 @@ def _mixed_cells(regions: DataFrame, comps: DataFrame, block: int) -> DataFrame:
 
 
 def near_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, trees: int = 25,
-                depth: int = 6, least: int = 4, close_trees: int = 3, block: int = 256) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)`` of every row.
+                depth: int = 6, least: int = 4, close_trees: int = 3, block: int = 256, ids_link: bool = True) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept, row_key, chosen)`` of every row.
 
     ``component_id`` is the smallest id reachable by links; ``kept`` marks the
-    rows of that id. ``least`` values of a label make a region, ``close_trees``
+    rows of that id, ``chosen`` those of one text that stands for the component; ``row_key`` is the
+    hash of id and text. ``least`` values of a label make a region, ``close_trees``
     orders are read by neighbours, ``block`` classes at most meet in a block.
     """
-    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
+                            F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key"))
     signed = stored(_sign(docs, shingle, trees * depth), "signed")
-    classes = stored(signed.filter("key is not null and doc_id is not null").groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "classes")
+    members = signed.filter("key is not null and doc_id is not null")
+    classes = stored(members.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("sig").alias("sig"))
+                     .withColumn("rep", F.monotonically_increasing_id()), "classes")
 
     labels = _labels(classes, trees, depth, least)
     shared = _labels(classes, trees, depth, least).groupBy("region").agg(F.count("*").alias("n")).filter("n > 1").select("region")
@@ -265,10 +286,14 @@ def near_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def elements(batches):
         hasher = WordHasher()
         for batch in small_batches(batches, 16 << 20):
-            sets = [shingle_set(hasher, x, shingle).tobytes() for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["rep", "elements"])
-
-    sets = stored(docs.join(nodes, docs["doc_id"] == nodes["rep"], "left_semi").mapInArrow(elements, "rep long, elements binary"), "sets")
+            sets = [shingle_set(hasher, x, shingle) for x in batch.column(2).to_pylist()]
+            own = pa.array([_key(x) == key for x, key in zip(sets, batch.column(1).to_pylist(), strict=True)])  # an id may have other texts
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in sets], pa.binary())], names=["rep", "elements"]).filter(own)
+
+    asked = nodes.join(classes.select("rep", "first_id", "key"), "rep")
+    sets = stored(docs.join(asked, docs["doc_id"] == asked["first_id"]).select("rep", "key", "text").mapInArrow(elements, "rep long, elements binary"), "sets")
+    if not sets.groupBy("rep").count().filter("count > 1").isEmpty():  # repeated rows
+        sets = stored(sets.dropDuplicates(["rep"]), "sets")
     close = stored(_neighbour_links(regions.filter(F.col("tree") < close_trees).select("region", "deep", "rep").join(sets, "rep"), percent).distinct(), "close")
     comps = stored(connected_components(nodes, close, "rep").select("rep", F.col("component").alias("comp")), "comps")
 
@@ -285,10 +310,17 @@ def near_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     full = likely.join(classes.select("rep", "sig"), "rep").join(sets, "rep").select("cell", "tree", "side", "rep", "comp", "sig", "elements")
     far = _block_links(full, percent, trees, depth, least)
     links = far.unionByName(comps.filter("rep <> comp").select(F.col("rep").alias("u"), F.col("comp").alias("v")))
-    final = connected_components(nodes, stored(links, "links"), "rep")
-
-    placed = classes.select("key", "rep").join(final, "rep", "left").select("key", F.coalesce("component", "rep").alias("component_id"))
+    if ids_link:
+        links = links.unionByName(shared_ids(members.select("doc_id", "key"), classes, "doc_id", "key"))
+    links = stored(links, "links")
+    linked = links.select(F.col("u").alias("rep")).unionAll(links.select(F.col("v").alias("rep"))).distinct()
+    final = named_components(classes, connected_components(linked, links, "rep"))
+
+    placed = classes.select("key", "rep", "first_id").join(final, "rep", "left").select(
+        "key", "first_id", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("chosen", F.lit(True)).alias("chosen"))
     found = F.when(F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.coalesce("component_id", "doc_id"))
-    return (signed.select("doc_id", "n_shingles", "key").join(placed, "key", "left")
-            .select("doc_id", "n_shingles", found.alias("component_id"))
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    return (signed.select("doc_id", "n_shingles", "key", "row_key").join(placed, "key", "left")
+            .select("doc_id", "n_shingles", found.alias("component_id"), "row_key",
+                    (F.col("key").isNull() | F.col("doc_id").isNull() | F.col("chosen") & (F.col("doc_id") == F.col("first_id"))).alias("chosen"))
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select("doc_id", "n_shingles", "component_id", "kept", "row_key", "chosen"))

@@ -12,12 +12,12 @@ into blocks of ``block`` classes, each pair of blocks being a cell of its own, s
 holds a third of all vectors is many small tasks; a cell returns counts of links
 and a spanning set of them, never pairs. Memory is one cell and the pivots.
 
-Within a list, the cosine is computed first and the shared pivots of the pairs that
-reach the limit are counted after: the same pairs, found with less work.
+Within a cell the shared pivots of all its pairs are counted as one matrix product; only pairs with
+enough of them are verified by cosine.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
-components link with nothing; vectors of different lengths do not link; rows
-that share an id are one node.
+components link with nothing; vectors of different lengths do not link; an id with
+several vectors has one row for each, with that vector's links, and joins their components.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from stockline.llm.common import stored
-from stockline.llm.near_text import Groups, cells
+from stockline.llm.near_text import Groups, cells, named_components, shared_ids
 from stockline.operators.components import connected_components
 
 
@@ -72,13 +72,15 @@ def _cell_links(rows: DataFrame, cosine: float, shared: int) -> DataFrame:
             side, pivot = table.column("side").to_numpy(), table.column("pivot")[0].as_py()
             x = unit_rows(table.column("vector").to_pylist())
             prefixes = np.frombuffer(b"".join(table.column("prefix").to_pylist()), np.int32).reshape(len(x), -1)
-            a, b = np.nonzero(np.triu(x @ x.T >= cosine, 1) & ((side[:, None] != side[None, :]) | (side[:, None] == 2)))
+            known, place = np.unique(prefixes, return_inverse=True)
+            has = np.zeros((len(x), len(known)), np.float32)
+            np.put_along_axis(has, place.reshape(prefixes.shape), 1, axis=1)
+            before = has[:, :int(np.searchsorted(known, pivot))]  # a pair meets in the list of its first shared pivot
+            a, b = np.nonzero(np.triu((has @ has.T >= shared) & (before @ before.T == 0), 1) & ((side[:, None] != side[None, :]) | (side[:, None] == 2)))
             counts, groups, links = np.zeros(len(x), np.int64), Groups(), []
             for start in range(0, len(a), 4096):
                 i, j = a[start:start + 4096], b[start:start + 4096]
-                same = (prefixes[i][:, :, None] == prefixes[j][:, None, :]).any(axis=2)
-                first = np.where(same, prefixes[i], np.iinfo(np.int32).max).min(axis=1)
-                ok = (same.sum(axis=1) >= shared) & (first == pivot)
+                ok = np.einsum("ij,ij->i", x[i], x[j]) >= cosine
                 i, j = i[ok], j[ok]
                 np.add.at(counts, i, copies[j])
                 np.add.at(counts, j, copies[i])
@@ -96,19 +98,20 @@ def _cell_links(rows: DataFrame, cosine: float, shared: int) -> DataFrame:
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9, prefix: int = 10,
-                 shared: int = 1, most_pivots: int = 4096, block: int = 512) -> DataFrame:
+                 shared: int = 2, most_pivots: int = 4096, block: int = 512) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` of every row."""
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("value"))
     good = (F.col("value").isNotNull() & F.forall("value", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
             & F.exists("value", lambda v: v != 0))
     good = F.coalesce(good & F.col("vec_id").isNotNull(), F.lit(False))
-    classes = stored(rows.filter(good).groupBy("value").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vectors")
+    classes = stored(rows.filter(good).groupBy("value").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("copies"))
+                     .withColumn("rep", F.monotonically_increasing_id()), "vectors")
 
     pivots: dict[int, np.ndarray] = {}
     for size, n in classes.groupBy(F.size("value").alias("s")).count().orderBy("s").collect():
         wanted = int(min(most_pivots, max(16, 2 * n ** 0.5)))
-        drawn = classes.filter(F.size("value") == size).orderBy(F.xxhash64("rep"), "rep").limit(wanted).select("value").collect()
+        drawn = classes.filter(F.size("value") == size).orderBy(F.xxhash64("first_id"), "first_id", "value").limit(wanted).select("value").collect()
         pivots[size] = unit_rows([np.array(r[0], np.float64).tobytes() for r in drawn])
     described = stored(_described(classes, pivots, prefix), "described")
 
@@ -123,10 +126,12 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         "rep", "copies", "vector", "prefix", "pivot", "to.side", "to.cell")
     found = stored(_cell_links(cell_rows, cosine, shared), "links")
     counts = found.filter("v is null").groupBy("u").agg(F.sum("links").alias("links"))
-    nodes = classes.select("rep")
-    comps = connected_components(nodes, found.filter("v is not null").select("u", "v"), "rep")
-    placed = (classes.join(comps, "rep").join(counts, F.col("rep") == F.col("u"), "left")
-              .select("value", "component", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
+    links = stored(found.filter("v is not null").select("u", "v")
+                   .unionByName(shared_ids(rows.filter(good).select("vec_id", "value"), classes, "vec_id", "value")), "edges")
+    linked = links.select(F.col("u").alias("rep")).unionAll(links.select(F.col("v").alias("rep"))).distinct()
+    comps = named_components(classes, connected_components(linked, links, "rep"))
+    placed = (classes.join(comps, "rep", "left").join(counts, F.col("rep") == F.col("u"), "left")
+              .select("value", F.coalesce("component_id", "first_id").alias("component"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
     keyed = rows.withColumn("good", good).withColumn("value", F.when(F.col("good"), F.col("value")))
     return (keyed.join(placed, "value", "left").select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
                                                        F.coalesce("component", "vec_id").alias("component_id"))

@@ -61,7 +61,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_groups(table(spark, sf_dir, "documents"), shingle=2)
+    return near_groups(table(spark, sf_dir, "documents"), shingle=2).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -133,9 +133,17 @@ def test_vectors_are_linked_as_by_brute_force(spark):
     assert near_vectors.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_an_id_with_several_vectors_has_a_row_for_each(spark):
+    a, b, c, close = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0], [0.0, 0.1, 1.0]
+    rows = [(1, a), (7, b), (7, c), (9, close), (20, a), (20, a), (21, [1.0, 1.0, 1.0]), (7, None)]
+    found = near_vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in found) == sorted(
+        [(1, 2, 1, True), (7, 0, 7, True), (7, 1, 7, True), (9, 1, 7, False), (20, 2, 1, False), (20, 2, 1, False), (21, 0, 21, True), (7, 0, 7, True)])
+
+
 def test_near_texts_are_grouped_as_by_brute_force(spark, odd):
     draw = random.Random(8)
-    texts = [(r["doc_id"], r["text"]) for r in odd.collect() if r["doc_id"] != 7]
+    texts = [(r["doc_id"], r["text"]) for r in odd.collect()]
     for i in range(40):
         body = [f"t{i}x{draw.randrange(300)}" for _ in range(60)]
         for _ in range(draw.randrange(1, 12 if i else 150)):
@@ -143,27 +151,55 @@ def test_near_texts_are_grouped_as_by_brute_force(spark, odd):
             for _ in range(draw.randrange(5)):
                 copy[draw.randrange(60)] = f"e{draw.randrange(10**6)}"
             texts.append((1000 + len(texts), " ".join(copy)))
-    sets = {}
-    for i, t in texts:
+    groups = [texts[30], texts[200], texts[-1]]
+    texts += [(3000, groups[0][1]), (3000, groups[1][1]), (3001, groups[2][1]), (3001, "nothing like it"), *[groups[0]] * 50]
+    sets = []
+    for _, t in texts:
         w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
-        sets[i] = set(zip(w, w[1:], strict=False)) if len(w) > 1 else {tuple(w)} if w else set()
-    up = {i: i for i in sets}
-
-    def find(i):
-        while up[i] != i:
-            i = up[i]
-        return i
-
-    known = sorted(i for i in sets if i is not None)
-    for n, i in enumerate(known):
-        for j in known[:n]:
-            common = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * common >= 80 * len(sets[i] | sets[j]) and find(i) != find(j):
-                up[max(find(i), find(j))] = min(find(i), find(j))
+        sets.append(set(zip(w, w[1:], strict=False)) if len(w) > 1 else {tuple(w)} if w else set())
+
+    def components(ids_link):
+        up = list(range(len(texts)))
+
+        def find(i):
+            while up[i] != i:
+                i = up[i]
+            return i
+
+        for n, (i, _) in enumerate(texts):
+            for m in range(n):
+                if i is not None and texts[m][0] is not None and find(n) != find(m) and sets[n] and sets[m] and (
+                        ids_link and texts[m][0] == i or 100 * len(sets[n] & sets[m]) >= 80 * len(sets[n] | sets[m])):
+                    up[find(n)] = find(m)
+        least = {}
+        for n, (i, _) in enumerate(texts):
+            least[find(n)] = min(least.get(find(n), i), i) if i is not None else None
+        return [least[find(n)] for n in range(len(texts))], [find(n) for n in range(len(texts))]
+
     frame = spark.createDataFrame(texts, "doc_id long, text string").selectExpr("*", "1 as rep", "2 as key")
-    got = sorted({tuple(r) for r in near_text.near_groups(frame, shingle=2, block=16).collect()}, key=str)
-    assert got == sorted({(i, len(sets[i]), None if i is None else find(i), i is None or find(i) == i) for i, _ in texts}, key=str)
+    names, _ = components(True)
+    found = near_text.near_groups(frame, shingle=2, block=16)
+    got = sorted((tuple(r) for r in found.select("doc_id", "n_shingles", "component_id", "kept").collect()), key=str)
+    assert got == sorted(((i, len(s), c, i == c) for (i, _), s, c in zip(texts, sets, names, strict=True)), key=str)
     assert near_text.near_groups(frame.limit(0)).count() == 0
+    names, groups = components(False)
+    alone = near_text.near_groups(frame, shingle=2, block=16, ids_link=False).collect()
+    assert sorted(((r["doc_id"], r["component_id"]) for r in alone), key=str) == sorted(((i, c) for (i, _), c in zip(texts, names, strict=True)), key=str)
+    stand = {(r["doc_id"], r["row_key"]) for r in alone if r["chosen"] and r["n_shingles"] and r["doc_id"] is not None}
+    assert len(stand) == len({g for (i, _), s, g in zip(texts, sets, groups, strict=True) if s and i is not None})
+
+
+def test_stage_keeps_one_row_of_each_group(spark):
+    from corpus_pipeline import near_copies
+    text = lambda *w: " ".join(w)
+    body = [f"w{i}" for i in range(60)]
+    rows = [(5, text(*body)), (5, text(*body)), (2, text(*body[1:])), (2, "an other text of the same id here"), (9, "an other text of the same id here"),
+            (None, text(*body)), (None, text(*body)), (11, None), (11, None), (12, "")]
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    kept = sorted(((r["doc_id"], r["text"]) for r in near_copies(spark, frame, "").collect()), key=str)
+    assert kept == sorted([(2, text(*body[1:])), (2, "an other text of the same id here"), *rows[5:]], key=str)
+    again = sorted(((r["doc_id"], r["text"]) for r in near_copies(spark, frame.filter("doc_id = 5"), "").collect()), key=str)
+    assert again == [rows[0]]
 
 
 BASE = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
