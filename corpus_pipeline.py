@@ -1,13 +1,13 @@
 """From raw documents to token ids: five stages, each written as Parquet and read by the next.
 
 quality      documents that the additive model rejects go
-near_copies  of each group of near copies (five-word shingles, similarity 0.8) the smallest id stays
+near_copies  of each group of near copies (five-word shingles, similarity 0.8) one row of the smallest id stays
 benchmark    documents that hold a passage of a benchmark item go
 personal     personal data in the texts that stay is replaced by its kind in brackets
 tokens       texts are encoded and decoded; ids and decoded text are returned as digests
 
 All stages but the last return the columns of documents. Rows without an id take part in all stages but never count
-as copies. Stages one and four are models and the last needs a vocabulary, so there is no SQL for the whole.
+as copies; of an id with several texts each text is judged by itself, and equal rows count once. Stages one and four are models and the last needs a vocabulary, so there is no SQL for the whole.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stockline.llm.bpe import encode_decode
 from stockline.llm.common import stored
@@ -31,9 +31,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = near_groups(docs)
-    gone = stored(groups.filter("not kept").select("doc_id").distinct(), "copies")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    groups = stored(near_groups(docs, ids_link=False).select("doc_id", "row_key", "n_shingles", "chosen"), "groups")
+    gone = groups.filter("not chosen").select(F.col("row_key").alias("gone_row"), F.col("doc_id").alias("gone_doc"))
+
+    def same(rows: DataFrame) -> Column:
+        return (F.xxhash64(docs["doc_id"], docs["text"]) == rows["gone_row"]) & (docs["doc_id"] == rows["gone_doc"])
+
+    rest = docs.join(gone, same(gone), "left_anti")
+    repeated = groups.filter("chosen and n_shingles > 0 and doc_id is not null").groupBy("row_key", "doc_id").count().filter("count > 1")
+    repeated = stored(repeated.select(F.col("row_key").alias("gone_row"), F.col("doc_id").alias("gone_doc")), "repeated")
+    if repeated.isEmpty():
+        return rest
+    once = rest.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "text"])
+    return rest.join(repeated, same(repeated), "left_anti").unionByName(once)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
