@@ -10,7 +10,7 @@ one stands.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stockline.session import on_new_path
 from stockline.sources.files import remove_path
@@ -25,24 +25,25 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
-def dealt_edges(directed: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
-    """``directed`` with the part of its node that an edge belongs to, and each part with its node's smallest neighbour.
+def dealt_edges(directed: DataFrame, rows: int, least: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """``directed`` with the part of its node that an edge belongs to, and each part with its node's ``least``.
 
-    ``rows`` is the number of edges, or a bound above it.
+    ``rows`` is the number of edges, or a bound above it; ``least`` is an aggregate, the smallest neighbour by default.
     """
     ordinary = max(ORDINARY, rows // MOST_HEAVY)
-    nodes = directed.groupBy("u").agg(F.min("v").alias("least"), F.ceil(F.count(F.lit(1)) / ordinary).alias("parts"))
-    least = nodes.select("u", F.least("u", "least").alias("least"), F.explode(F.sequence(F.lit(1).cast("long"), "parts")).alias("part"))
+    best = F.min("v") if least is None else least
+    nodes = directed.groupBy("u").agg(best.alias("least"), F.ceil(F.count(F.lit(1)) / ordinary).alias("parts"))
+    parts = nodes.select("u", "least", F.explode(F.sequence(F.lit(1).cast("long"), "parts")).alias("part"))
     heavy = nodes.filter("parts > 1").select("u", "parts")
     dealt = directed.join(F.broadcast(heavy), "u", "left").select(
-        "u", "v", F.coalesce(F.pmod(F.xxhash64("v"), "parts") + 1, F.lit(1).cast("long")).alias("part"))
-    return dealt, least
+        *directed.columns, F.coalesce(F.pmod(F.xxhash64("v"), "parts") + 1, F.lit(1).cast("long")).alias("part"))
+    return dealt, parts
 
 
 def _with_least(directed: DataFrame, rows: int) -> DataFrame:
     """Each edge with the smallest node among ``u`` and its neighbours."""
     dealt, least = dealt_edges(directed, rows)
-    return dealt.join(least, ["u", "part"]).select("u", "v", "least")
+    return dealt.join(least, ["u", "part"]).select("u", "v", F.least("u", "least").alias("least"))
 
 
 def _large_star(edges: DataFrame, rows: int) -> DataFrame:
