@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from stockline.llm.common import NOT_SPACE, WordHasher, give_back, gram_hashes, lower_bytes, mix, small_batches, stored, word_spans
-from stockline.operators.components import connected_components
+from stockline.operators.components import connected_components, dealt_edges
 
 _SEEDS = mix(np.arange(1, 4097, dtype=np.uint64)) | np.uint64(1)
 
@@ -139,9 +139,10 @@ def shared_ids(members: DataFrame, classes: DataFrame, id_col: str, key: str) ->
 
 def named_components(classes: DataFrame, comps: DataFrame) -> DataFrame:
     """``(rep, component_id, chosen)``: the smallest id of each class's component, and the one class that stands for it."""
-    placed = comps.join(classes.select("rep", "first_id"), "rep")
-    names = placed.groupBy("component").agg(F.min(F.struct("first_id", "rep")).alias("name"))
-    return placed.join(names, "component").select("rep", F.col("name.first_id").alias("component_id"), (F.col("name.rep") == F.col("rep")).alias("chosen"))
+    placed = stored(comps.join(classes.select("rep", "first_id"), "rep").select(F.col("component").alias("u"), F.col("rep").alias("v"), "first_id"), "placed")
+    dealt, names = dealt_edges(placed, placed.count(), F.min(F.struct("first_id", "v")))
+    return dealt.join(names, ["u", "part"]).select(
+        F.col("v").alias("rep"), F.col("least.first_id").alias("component_id"), (F.col("least.v") == F.col("v")).alias("chosen"))
 
 
 def _labels(classes: DataFrame, trees: int, depth: int, least: int) -> DataFrame:
