@@ -38,17 +38,22 @@ def with_longest_runs(df: DataFrame, spec: RecencySpec) -> DataFrame:
         for days in spec.horizons])
 
 
-def recency_features(df: DataFrame, spec: RecencySpec, start=None, end=None,
-                     rolled: bool = False) -> DataFrame:
-    """All recency columns of a grouping set, one row per group and day."""
-    recent = history_slice(df, start, spec.history_days(), spec.date, end)
-    full = (group_day_flags(recent, spec, rolled)
+def daily_features(daily: DataFrame, spec: RecencySpec, start=None, end=None) -> DataFrame:
+    """All recency columns from flags per group and day."""
+    full = (daily
             .transform(with_last_sale, spec)
             .transform(with_run, spec)
             .transform(with_longest_runs, spec))
     return output_slice(full, start, end, spec.date).select(*spec.group_cols, spec.date, *spec.columns())
 
 
+def recency_features(df: DataFrame, spec: RecencySpec, start=None, end=None,
+                     rolled: bool = False) -> DataFrame:
+    """All recency columns of a grouping set, one row per group and day."""
+    recent = history_slice(df, start, spec.history_days(), spec.date, end)
+    return daily_features(group_day_flags(recent, spec, rolled), spec, start, end)
+
+
 def recency_row_features(df: DataFrame, spec: RecencySpec, keys: Sequence[str],
                          start=None, end=None) -> DataFrame:
     rows = output_slice(df, start, end, spec.date)

@@ -204,15 +204,9 @@ def with_sum_ratios(df: DataFrame, spec: TrailingSpec) -> DataFrame:
         for m in spec.measures for a, b in spec.ratios])
 
 
-def trailing_features(df: DataFrame, spec: TrailingSpec, start=None, end=None,
-                      rolled: bool = False) -> DataFrame:
-    """All trailing columns of a grouping set, one row per group and day.
-
-    With ``start`` only the history that can reach the asked days is read.
-    ``rolled`` input comes from ``roll_up``.
-    """
-    recent = history_slice(df, start, spec.history_days(), spec.date, end)
-    full = ((regroup_days if rolled else group_days)(recent, spec)
+def daily_features(daily: DataFrame, spec: TrailingSpec, start=None, end=None) -> DataFrame:
+    """All trailing columns from totals per group and day."""
+    full = (daily
             .transform(with_sums, spec)
             .transform(with_averages, spec)
             .transform(with_deviations, spec)
@@ -223,6 +217,17 @@ def trailing_features(df: DataFrame, spec: TrailingSpec, start=None, end=None,
         F.col(c).cast("double").alias(c) for c in spec.columns()])
 
 
+def trailing_features(df: DataFrame, spec: TrailingSpec, start=None, end=None,
+                      rolled: bool = False) -> DataFrame:
+    """All trailing columns of a grouping set, one row per group and day.
+
+    With ``start`` only the history that can reach the asked days is read.
+    ``rolled`` input comes from ``roll_up``.
+    """
+    recent = history_slice(df, start, spec.history_days(), spec.date, end)
+    return daily_features((regroup_days if rolled else group_days)(recent, spec), spec, start, end)
+
+
 def attach_to_rows(df: DataFrame, daily: DataFrame, group_cols: Sequence[str], keys: Sequence[str],
                    date: str = names.DATE, month: str = names.MONTH) -> DataFrame:
     """Group-day features at row grain: key, day, month and the feature columns."""

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import RandomForestRegressor
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from stockline import spec
 from stockline.functions import metrics
 from stockline.functions.dates import shift_days, with_month_end
-from stockline.operators import clean, dims, model, recency, trailing
+from stockline.operators import clean, dims, grouping, model, trailing
 from stockline.sources.files import export_csv, overwrite_table, path_exists
 from stockline.sources.store import FeatureStore, FeatureTable, SOFT_OVERWRITE
 from stockline.spec import FeaturePlan
@@ -20,6 +22,7 @@ from stockline.spec import FeaturePlan
 log = logging.getLogger(__name__)
 
 BASIC = "basic_ft"
+DAILY_SETS = "daily_sets_ft"
 
 
 @dataclass(frozen=True)
@@ -48,39 +51,49 @@ def save_basic(sales: DataFrame, sides: dims.Dimensions, store: FeatureStore, st
     return clean.with_sold_flag(store.read(BASIC))
 
 
-def save_rollups(base: DataFrame, store: FeatureStore, plan: FeaturePlan, start, end) -> dict:
-    """Daily totals shared by the grouping sets, from one pass over the fact each.
+def save_rollups(base: DataFrame, store: FeatureStore, specs: Sequence[grouping.Spec], measures: Sequence[str], start, end) -> None:
+    """Daily totals of all grouping sets, from one pass over the fact per roll-up.
 
     They are rewritten on every run, for the days that the asked features can
     reach back to.
     """
-    first = shift_days(start, -plan.history_days())
-    rolled = {}
-    for name, columns in spec.ROLLUPS.items():
-        needed = [g for g in plan.trailing + plan.recency if set(g.group_cols) <= set(columns)]
-        if needed:
-            kept = [c for c in columns if any(c in g.group_cols for g in needed)]
+    first = shift_days(start, -max(s.history_days() for s in specs))
+    wanted = list(dict.fromkeys(s.group_cols for s in specs))
+    parts = []
+    for name, columns in [*spec.ROLLUPS.items(), *((f"daily_{grouping.set_name(g)}", g) for g in wanted)]:
+        sets = [g for g in wanted if set(g) <= set(columns)]
+        wanted = [g for g in wanted if g not in sets]
+        if sets:
+            kept = [c for c in columns if any(c in g for g in sets)]
             store.save_feature(clean.in_period(base, first, end), trailing.roll_up, name, first, end, True,
-                               columns=kept, measures=plan.measures())
-            rolled[frozenset(kept)] = store.read(name)
-    return rolled
+                               columns=kept, measures=measures)
+            parts.append(grouping.daily_sets(store.read(name), sets, measures))
+    daily = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    store.save_feature(daily, lambda rows: rows, DAILY_SETS, first, end, True)
 
 
 def save_features(base: DataFrame, store: FeatureStore, plan: FeaturePlan, start, end,
                   overwrite: bool) -> list[FeatureTable]:
-    """One table per feature set, trailing and recency at the grain of group and day."""
-    wanted = [(f"ts_agg_{g.name}_ft", trailing.trailing_features, g) for g in plan.trailing]
-    wanted += [(f"consc_{g.name}_ft", recency.recency_features, g) for g in plan.recency]
-    saved = [FeatureTable(name, group.group_cols, unique=True) for name, _, group in wanted]
-    due = [w for w in wanted if overwrite or not store.exists(w[0], start, end)]
-    rolled = save_rollups(base, store, plan, start, end) if due else {}
-    for name, feature, group in due:
-        source = next((t for columns, t in rolled.items() if columns >= set(group.group_cols)), None)
-
-        def compute(df: DataFrame, feature=feature, group=group, rolled=source is not None) -> DataFrame:
-            return feature(df, group, start, end, rolled)
-
-        store.save_feature(base if source is None else source, compute, name, start, end)
+    """One table per feature set, trailing and recency at the grain of group and day.
+
+    All sets that share their settings are computed by one plan.
+    """
+    saved, due = [], []
+    for kind, specs in (("ts_agg", plan.trailing), ("consc", plan.recency)):
+        for number, same in enumerate(grouping.alike(specs)):
+            name = f"{kind}_sets_{number}"
+            tables = [FeatureTable(f"{name}/{grouping.SET}={grouping.set_name(s.group_cols)}", s.group_cols, True, grouping.own_columns(s, same))
+                      for s in same]
+            saved += tables
+            todo = [s for s, t in zip(same, tables, strict=True) if overwrite or not store.exists(t.name, start, end)]
+            if todo:
+                due.append((name, same, todo))
+    if due:
+        save_rollups(base, store, [s for _, _, todo in due for s in todo], plan.measures(), start, end)
+        daily = store.read(DAILY_SETS)
+        for name, same, todo in due:
+            sets = [grouping.set_name(s.group_cols) for s in todo]
+            store.save_sets(grouping.set_features(daily.filter(F.col(grouping.SET).isin(sets)), same, start, end), name, grouping.SET, sets, start, end)
     return saved
 
 

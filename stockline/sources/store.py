@@ -35,12 +35,14 @@ class FeatureTable:
     """A stored table and the columns, besides day and month, that identify a row.
 
     ``unique``: it was made by grouping on exactly these columns, so its keys
-    need no check.
+    need no check. ``columns``: stored and proper names of its features, where
+    they differ.
     """
 
     name: str
     on: tuple[str, ...]
     unique: bool = False
+    columns: tuple[tuple[str, str], ...] = ()
 
     def key(self) -> tuple[str, ...]:
         """The columns that identify a row once its day is known."""
@@ -125,6 +127,18 @@ class FeatureStore:
             self.replace_months(rows.filter(F.col(self.month).isin(missing)), name, missing)
         return True
 
+    def save_sets(self, df: DataFrame, name: str, by: str, values: Sequence[str], start, end) -> None:
+        """Write the rows from ``start`` to ``end`` of each value of ``by`` as a table of its own, all in one job.
+
+        The table of a value is ``name/by=value``; those not listed stay as they are.
+        """
+        rows = df if self.month in df.columns else with_month_end(df, self.date, self.month)
+        rows = in_period(rows, start, end, self.date, self.month)
+        for value in values:
+            remove_path(self.spark, self.path(f"{name}/{by}={value}"))
+        (rows.hint("rebalance", by, self.month).write.format(self.fmt).mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(by, self.month).save(self.path(name)))
+
     def replace_months(self, df: DataFrame, name: str, months: Sequence[dt.date] = ()) -> None:
         """Write the months that occur in ``df`` and leave all others as they are.
 
@@ -174,7 +188,10 @@ class FeatureStore:
         merged: dict[tuple[str, ...], DataFrame] = {}
         for feature in features:
             key = feature.key()
-            table = self.months_of(feature.name, months).drop(*set(feature.on) - set(key))
+            table = self.months_of(feature.name, months)
+            if feature.columns:
+                table = table.select(*feature.on, self.date, self.month, *[F.col(old).alias(new) for old, new in feature.columns])
+            table = table.drop(*set(feature.on) - set(key))
             on = [*key, self.date, self.month]
             merged[key] = merged[key].join(table, on, "full") if key in merged else table
         for key, table in merged.items():
