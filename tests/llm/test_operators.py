@@ -68,6 +68,25 @@ def test_verdicts_follow_rules_and_links(spark):
     assert url_filter.judge_urls(pages.limit(0), URL_RULES).count() == 0
 
 
+@pytest.mark.parametrize("linkers", [1, 2, 1000])
+def test_verdicts_of_linkers_do_not_depend_on_their_number(spark, linkers):
+    """Hosts that link to a blocked host only are blocked, however many; one that links mostly to others is not."""
+    import duckdb
+    link = "<a href='{}'>t</a>".format
+    to_bad = link("http://bad.com/de/1")
+    rows = [(1, "http://bad.com/de/1", ""), (2, "http://mixed.net/", to_bad + link("http://fine.net/") * 8), (3, "http://fine.net/", ""),
+            (4, "http://good.org/", link("http://liked.net/")), (5, "http://liked.net/", to_bad), (6, "http://far.net/", link("http://mixed.net/"))]
+    rows += [(100 + n, f"http://farm{n}.net/", to_bad) for n in range(linkers)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in url_filter.judge_urls(pages, URL_RULES).collect()}
+    assert {i for i, r in got.items() if r["verdict"] == "block"} == {1, *range(100, 100 + linkers)}
+    assert got[100]["distrust"] == pytest.approx(1.0) and 0 < got[2]["distrust"] < 0.5 and got[5]["trust"] == pytest.approx(1.0)
+    con = duckdb.connect()
+    con.register("pages", pages.toArrow())
+    assert {r[0]: tuple(r[1:]) for r in con.execute(url_filter.judge_sql(URL_RULES)).fetchall()} == {
+        i: (r["host"], r["path"], r["rule"], r["verdict"]) for i, r in got.items()}
+
+
 def test_pages_have_texts(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a<p>b"), (1, "u", "<p>a<p>b"), (None, None, None)], "page_id long, url string, html string").selectExpr("*", "0 as text")
     assert sorted(map(tuple, html_text.extract_text(pages).collect()), key=str) == sorted([(1, "u", "a b", 3), (1, "u", "a b", 3), (None, None, "", 0)], key=str)
