@@ -560,6 +560,32 @@ def csv_scan(spark, folder):
     return files.read_csv(spark, path, files.SALES_SCHEMA)
 
 
+@query("csv_quarantine")
+def csv_quarantine(spark, folder):
+    """Sales written as text with faults in them, read back as good rows and quarantined lines.
+
+    Second lines have a wrong day, third ones a value too many, fourth ones a
+    wrong day and mark, and fifth ones are in files with another header.
+    """
+    path = fresh_folder(spark, "faulty")
+    line = F.concat_ws(
+        ",", "OrderKey", "LineNumber", spec.STORE, spec.ITEM,
+        F.when(F.col("LineNumber").isin(2, 4), "soon").otherwise(F.col(spec.DATE).cast("string")),
+        F.when(F.col("LineNumber") == 4, "x").otherwise(F.col(spec.SOLD).cast("string")),
+        F.when(F.col("LineNumber") == 3, "more"))
+    sales = tables.sales(spark, folder)
+    names = ["OrderKey", "LineNumber", spec.STORE, spec.ITEM, spec.DATE, spec.SOLD]
+    for part, header in (("LineNumber <> 5", names), ("LineNumber = 5", names[::-1])):
+        # One column, set apart by tabs, so that the commas within it stay as they are.
+        (sales.filter(part).select(line.alias(",".join(header)))
+         .write.mode("append").option("header", True).option("sep", "\t").csv(path))
+    good, bad = files.read_checked(
+        spark, path, "OrderKey long, LineNumber int, BranchCode string, MaterialCode string, Date date, label int")
+    # The unknown header is quarantined too, once per written file.
+    bad = bad.filter(F.col("line") != ",".join(names[::-1])).drop("file")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 @query("anti_remainder")
 def anti_remainder(spark, folder):
     rows = tables.sales(spark, folder).select(*tables.KEYS, spec.DATE, spec.SOLD)

@@ -516,6 +516,15 @@ def store_sql() -> dict[str, str]:
             WHERE "Date" = DATE '2001-10-20'""",
         "csv_scan": f"""WITH {FULL} SELECT CAST(BranchCode AS VARCHAR) AS BranchCode,
             CAST(MaterialCode AS VARCHAR) AS MaterialCode, "Date", TotalQtySale, types FROM base""",
+        "csv_quarantine": f"""WITH {FULL}, lines AS (SELECT *, concat_ws(',', OrderKey, LineNumber, BranchCode, MaterialCode,
+              CASE WHEN LineNumber IN (2, 4) THEN 'soon' ELSE strftime("Date", '%Y-%m-%d') END,
+              CASE WHEN LineNumber = 4 THEN 'x' ELSE CAST(label AS VARCHAR) END,
+              CASE WHEN LineNumber = 3 THEN 'more' END) AS line FROM base)
+            SELECT OrderKey, LineNumber, CAST(BranchCode AS VARCHAR) AS BranchCode, CAST(MaterialCode AS VARCHAR) AS MaterialCode,
+              "Date", label, NULL AS line, NULL AS reason FROM lines WHERE LineNumber NOT BETWEEN 2 AND 5
+            UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, line,
+              CASE LineNumber WHEN 2 THEN 'Date' WHEN 3 THEN 'fields' WHEN 4 THEN 'Date,label' ELSE 'header' END
+            FROM lines WHERE LineNumber BETWEEN 2 AND 5""",
         "stratified_split": f"""WITH {FULL} SELECT {full_row}, label,
             CASE WHEN CAST('0x' || substr(md5(concat_ws('|', 42, label, OrderKey, LineNumber, MaterialCode, BranchCode,
               strftime("Date", '%Y-%m-%d'))), 1, 8) AS BIGINT) < round(0.3 * 4294967296)

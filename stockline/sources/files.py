@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 # Schemas of the input files.
 SALES_SCHEMA = (
@@ -16,6 +16,8 @@ LAT_LONG_SCHEMA = "ZipCode int, ProvinceEN string, latitude double, longitude do
 STORE_SCHEMA = (
     "BranchCode string, LocationCluster string, StoreType string, YearOpened int, MonthOpened int")
 CATEGORY_NAMES = {"Class Name": "product_cat_lv2", "Product ID": "MaterialCode"}
+#: Holds a record that does not fit its schema.
+BROKEN = "__broken"
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None, infer: bool = False) -> DataFrame:
@@ -39,6 +41,44 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, infer: b
     return reader.option("enforceSchema", False).schema(ddl).csv(path).select(*present)
 
 
+def read_checked(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """CSV whose faulty records are set apart: ``(good, bad)``.
+
+    ``good`` has the columns of ``schema``, ``bad`` has file, line and reason:
+    ``header`` for all lines of a file that never names the columns of the
+    schema in their order (letter case and quotes aside), ``fields`` for a
+    wrong number of values, otherwise the names of the columns whose values
+    are not of their type, or ``format`` where the type would do but the
+    notation does not. Every line but headers and blank ones is in exactly one
+    of the two. A repeated header, as in joined files, is no record; quoted
+    values cannot hold line ends. Headers cost a second pass over the text,
+    of which one row per file is shuffled.
+    """
+    wanted = spark.createDataFrame([], schema).schema
+    header = ",".join(wanted.names).lower()
+    lines = (spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+             .withColumn("named", F.lower(F.translate("line", '" ', "")) == header))
+    files = lines.groupBy("file").agg(F.max("named").alias("known"))
+
+    def parsed(types: dict[str, str]) -> Column:
+        ddl = ", ".join(f"`{c}` {t}" for c, t in types.items())
+        return F.from_csv("line", f"{ddl}, `{BROKEN}` string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN})
+
+    types = {f.name: f.dataType.simpleString() for f in wanted}
+    records = (lines.filter("NOT named AND trim(line) <> ''").join(files, "file")
+               .withColumn("row", parsed(types))
+               .withColumn("known", F.coalesce("known", F.lit(False))))
+    whole = F.col("known") & F.col("row")[BROKEN].isNull()
+    raw = F.col("raw")
+    untyped = F.concat_ws(",", *[
+        F.when(raw[c].isNotNull() & raw[c].try_cast(t).isNull(), F.lit(c)) for c, t in types.items()])
+    reason = (F.when(~F.col("known"), "header").when(raw[BROKEN].isNotNull(), "fields")
+              .when(untyped != "", untyped).otherwise("format"))
+    bad = (records.filter(~whole).withColumn("raw", parsed(dict.fromkeys(types, "string")))
+           .select("file", "line", reason.alias("reason")))
+    return records.filter(whole).select(*[F.col("row")[c].alias(c) for c in types]), bad
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A columnar table; ``delta`` works where its package is installed."""
     return spark.read.format(fmt).load(path)

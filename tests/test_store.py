@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockline.session import fresh_folder
-from stockline.sources.files import overwrite_table, export_csv, read_categories, read_category_groups, read_csv
+from stockline.sources.files import overwrite_table, export_csv, read_categories, read_category_groups, read_checked, read_csv
 from stockline.sources.store import DuplicateKeys, FeatureStore, FeatureTable
 
 START, END = "2020-06-01", "2020-09-30"
@@ -113,6 +113,20 @@ def test_months_prune(store, facts):
     assert "PartitionFilters: [isnotnull(Date_EOM" in text
 
 
+def test_faulty_records_are_set_apart(spark, tmp_path):
+    """Each line is a good row or a quarantined one; repeated headers and blank lines are neither."""
+    (tmp_path / "a.csv").write_text('"Day",N,Name\n2020-01-01,1,"x, y"\n\nday,n,name\n2020-13-01,z,b\n,,\n2020-01-02,2\n2020-01-02,2,b,c\n')
+    (tmp_path / "b.csv").write_text("n,day,name\n2020-01-01,1,x\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "bare.csv").write_text("day,n,name")
+    good, bad = read_checked(spark, str(tmp_path), "day date, n int, name string")
+    assert good.dtypes == [("day", "date"), ("n", "int"), ("name", "string")]
+    assert {(str(r.day), r.n, r.name) for r in good.collect()} == {("2020-01-01", 1, "x, y"), ("None", None, None)}
+    assert {(r.file.rsplit("/", 1)[1], r.line, r.reason) for r in bad.collect()} == {
+        ("a.csv", "2020-13-01,z,b", "day,n"), ("a.csv", "2020-01-02,2", "fields"), ("a.csv", "2020-01-02,2,b,c", "fields"),
+        ("b.csv", "n,day,name", "header"), ("b.csv", "2020-01-01,1,x", "header")}
+
+
 def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("b,1", 1.5, None), ("c", None, "x")], "MaterialCode string, avgPrice double, types string")
     path = export_csv(df, str(tmp_path), "report")
