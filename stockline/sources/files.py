@@ -121,6 +121,15 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def move_path(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file or folder; the folder that it goes to is made, ``target`` must not exist yet."""
+    source, goal = spark._jvm.org.apache.hadoop.fs.Path(path), spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs = goal.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(goal.getParent())
+    if fs.exists(goal) or not fs.rename(source, goal):
+        raise OSError(f"cannot move {path} to {target}")
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries of a folder; empty if there is no such folder."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

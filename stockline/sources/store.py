@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stockline import spec
 from stockline.functions.dates import as_date, calendar_between, month_end, month_ends, with_month_end
 from stockline.operators.clean import in_period
-from stockline.sources.files import child_names, path_exists, remove_path
+from stockline.sources.files import child_names, move_path, path_exists, remove_path
 
 log = logging.getLogger(__name__)
 
@@ -24,6 +25,8 @@ log = logging.getLogger(__name__)
 KEEP, OVERWRITE, SOFT_OVERWRITE = "", "overwrite", "soft_overwrite"
 SAVE_MODES = (KEEP, OVERWRITE, SOFT_OVERWRITE)
 COMBINED = "combined_ft"
+# Folders beside the tables: months on their way in, and out.
+STAGED, RETIRED = ".staged", ".retired"
 
 
 class DuplicateKeys(ValueError):
@@ -120,7 +123,7 @@ class FeatureStore:
             rows = with_month_end(rows, self.date, self.month)
         rows = in_period(rows, start, end, self.date, self.month)
         if overwrite or as_date(start) == as_date(end) or not path_exists(self.spark, self.path(name)):
-            self._write(rows, name, "static")
+            self._write(rows, name)
         else:
             stored = self.months(name)
             missing = [m for m in month_ends(start, end) if m not in stored]
@@ -142,23 +145,48 @@ class FeatureStore:
     def replace_months(self, df: DataFrame, name: str, months: Sequence[dt.date] = ()) -> None:
         """Write the months that occur in ``df`` and leave all others as they are.
 
-        Listed ``months`` are emptied first, so one without new rows does not
-        keep its old ones; if the write is interrupted, they count as missing.
+        Listed ``months`` without new rows are emptied. The new months are
+        written beside the table and put in place when all of them stand, so a
+        failed write leaves the old ones; a run stopped while a month changes
+        places is repaired by the next call. ``df`` may read the same table.
         The columns must be those of the stored table.
         """
+        self.repair(name)
         if self.months(name):
             old, new = set(self.read(name).columns), set(df.columns)
             if old != new:
                 raise ValueError(f"columns of {name} would change: {sorted(old ^ new)}")
-        for month in months:
-            remove_path(self.spark, f"{self.path(name)}/{self.month}={month.isoformat()}")
-        self._write(df, name, "dynamic")
-
-    def _write(self, df: DataFrame, name: str, mode: str) -> None:
+        new_name = f"{STAGED}/{uuid.uuid4().hex}"
+        staged, prefix = self.path(new_name), f"{self.month}="
+        try:
+            self._write(df, new_name)
+            fresh = [n for n in child_names(self.spark, staged) if n.startswith(prefix)]
+            for part in sorted({*fresh, *(prefix + m.isoformat() for m in months)}):
+                place = f"{self.path(name)}/{part}"
+                if path_exists(self.spark, place):
+                    move_path(self.spark, place, f"{self.path(RETIRED)}/{name}/{part}")
+                if part in fresh:
+                    move_path(self.spark, f"{staged}/{part}", place)
+                remove_path(self.spark, f"{self.path(RETIRED)}/{name}/{part}")
+        finally:
+            remove_path(self.spark, staged)
+        self.spark.catalog.refreshByPath(self.path(name))
+
+    def repair(self, name: str) -> None:
+        """Finish what a stopped ``replace_months`` left: a retired month returns unless another took its place."""
+        retired = f"{self.path(RETIRED)}/{name}"
+        for part in child_names(self.spark, retired):
+            if part.startswith(f"{self.month}="):
+                if path_exists(self.spark, f"{self.path(name)}/{part}"):
+                    remove_path(self.spark, f"{retired}/{part}")
+                else:
+                    move_path(self.spark, f"{retired}/{part}", f"{self.path(name)}/{part}")
+
+    def _write(self, df: DataFrame, name: str) -> None:
         # One writer per month would be a bottleneck, every task writing every
         # month a flood of files: rebalancing by month splits only large ones.
         (df.hint("rebalance", self.month).write.format(self.fmt).mode("overwrite")
-         .option("partitionOverwriteMode", mode)
+         .option("partitionOverwriteMode", "static")
          .partitionBy(self.month).save(self.path(name)))
 
     def combine(self, df: DataFrame, features: Sequence[FeatureTable], start, end,

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockline.session import fresh_folder
-from stockline.sources.files import overwrite_table, export_csv, read_categories, read_category_groups, read_checked, read_csv
+from stockline.sources.files import (
+    child_names, export_csv, move_path, overwrite_table, read_categories, read_category_groups, read_checked, read_csv)
 from stockline.sources.store import DuplicateKeys, FeatureStore, FeatureTable
 
 START, END = "2020-06-01", "2020-09-30"
@@ -113,6 +114,37 @@ def test_months_prune(store, facts):
     assert "PartitionFilters: [isnotnull(Date_EOM" in text
 
 
+def test_failed_write_leaves_the_old_months(store, facts, monkeypatch):
+    """Neither a write that fails nor a run stopped between two moves loses a month."""
+    store.replace_months(facts, "kept")
+    before = sorted(store.read("kept").collect())
+    broken = facts.withColumn("x", F.expr("if(key % 7 = 0, cast(raise_error('stop') as bigint), x)"))
+    with pytest.raises(Exception, match="stop"):
+        store.replace_months(broken, "kept", store.months("kept"))
+    assert sorted(store.read("kept").collect()) == before
+    moves = []
+
+    def stop_at_second(spark, path, target):
+        moves.append(target)
+        if len(moves) == 2:
+            raise OSError("stopped")
+        move_path(spark, path, target)
+
+    monkeypatch.setattr("stockline.sources.store.move_path", stop_at_second)
+    changed = facts.withColumn("x", F.col("x") + 1)
+    with pytest.raises(OSError, match="stopped"):
+        store.replace_months(changed, "kept")
+    monkeypatch.undo()
+    assert len(store.months("kept")) == 3
+    store.repair("kept")
+    assert sorted(store.read("kept").collect()) == before
+    store.replace_months(store.read("kept").withColumn("x", F.col("x") + 1), "kept", store.months("kept"))
+    assert sorted(store.read("kept").select(changed.columns).collect()) == sorted(changed.collect())
+    assert child_names(store.spark, store.path(".retired/kept")) == []
+    store.replace_months(changed.limit(0), "kept", [dt.date(2020, 7, 31)])
+    assert dt.date(2020, 7, 31) not in store.months("kept") and len(store.months("kept")) == 3
+
+
 def test_faulty_records_are_set_apart(spark, tmp_path):
     """Each line is a good row or a quarantined one; repeated headers and blank lines are neither."""
     (tmp_path / "a.csv").write_text('"Day",N,Name\n2020-01-01,1,"x, y"\n\nday,n,name\n2020-13-01,z,b\n,,\n2020-01-02,2\n2020-01-02,2,b,c\n')
