@@ -7,7 +7,9 @@ to a base that grows with the share of linked text. Densities of a node's
 children are summed; the node with the largest sum holds the main text. The
 smallest density on the path from the body to that node is the threshold: other
 branches at or above it belong to the text as well. Where the chosen node lies in an
-``article`` or ``main`` element, that whole element is the text.
+``article`` or ``main`` element, branches outside of it count a quarter of their density.
+Beside the path to the chosen node (within that element, if there is one) the text grows to
+short blocks between blocks of the text and to headings that lead to one, unless half of them is linked.
 
 Before counting, elements that never hold main text are left out: scripts,
 styles, navigation, asides, footers, forms and their controls, page headers, hidden
@@ -27,6 +29,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -61,6 +64,9 @@ COMMENT_WORDS = frozenset("comment comments disqus respond replies".split())
 _BEFORE_STATE, _AFTER_STATE = frozenset("no has with without hide show".split()), frozenset("open closed on off enabled disabled".split())
 # Shares of the page's unlinked text: what an element holds that its name cannot drop, and articles that make names safe.
 LARGE_SHARE, ARTICLE_SHARE = 1 / 2, 1 / 4
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
+# What the density of a branch counts for where the densest node lies in an article or main element and the branch does not.
+OUTSIDE_WEIGHT = 1 / 4
 CLOSES = {
     "p": frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
                    "h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()),
@@ -219,77 +225,117 @@ def _kept(tree: _Tree, by_name: bool) -> list[bool]:
     return keep
 
 
-def _densities(tree: _Tree, keep: list[bool]) -> tuple[list[float], list[float], list[int]]:
-    """Density, sum of the children's densities (its own for a leaf) and characters of each node."""
+def _density(chars: int, tags: int, link_chars: int, link_tags: int, share: float) -> float:
+    """Characters per tag, less the more of them are linked."""
+    if not chars:
+        return 0.0
+    t, lc, lt = max(tags, 1), max(link_chars, 1), max(link_tags, 1)
+    base = math.log(chars / max(chars - link_chars, 1) * lc + share * chars + math.e)
+    return chars / t * max(0.0, math.log(chars / lc * t / lt)) / math.log(base)
+
+
+def _densities(tree: _Tree, keep: list[bool]) -> tuple[list[float], list[float], list[int], list[int]]:
+    """Density, sum of the children's densities, characters and linked characters of each node.
+
+    Elements inside a line are no children and, but for links, no tags: ``<p><b>`` is as dense as ``<p>``.
+    Text that stands between a node's blocks counts as one child more; a node without blocks sums to its own density.
+    """
     n = len(tree.tags)
-    chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
-    linked = [False] * n
+    chars, tags, link_chars, link_tags, own = [0] * n, [0] * n, [0] * n, [0] * n, [0] * n
+    linked, block, around = [False] * n, [True] * n, [0] * n
     for i in range(1, n):
-        linked[i] = linked[tree.parents[i]] or tree.tags[i] == "a"
+        up = tree.parents[i]
+        linked[i] = linked[up] or tree.tags[i] == "a"
+        block[i] = tree.tags[i] in BLOCK and tree.tags[i] not in VOID
+        around[i] = up if block[up] else around[up]
     for node, text in tree.pieces:
         if node >= 0 and keep[node]:
             size = len("".join(text.split()))
             chars[node] += size
             if linked[node]:
                 link_chars[node] += size
+            else:
+                own[node if block[node] else around[node]] += size
     for i in range(n - 1, 0, -1):
         if keep[i]:
             up = tree.parents[i]
             chars[up] += chars[i]
             link_chars[up] += link_chars[i]
-            tags[up] += tags[i] + 1
+            tags[up] += tags[i] + (block[i] or tree.tags[i] == "a")
             link_tags[up] += link_tags[i] + (tree.tags[i] == "a")
     share = link_chars[0] / max(chars[0], 1)
-    density, sums = [0.0] * n, [0.0] * n
-    for i in range(n):
-        if keep[i] and chars[i]:
-            c, t, lc, lt = chars[i], max(tags[i], 1), max(link_chars[i], 1), max(link_tags[i], 1)
-            base = math.log(c / max(c - link_chars[i], 1) * lc + share * c + math.e)
-            density[i] = c / t * max(0.0, math.log(c / lc * t / lt)) / math.log(base)
-    leaf = [True] * n
+    density = [_density(c, t, lc, lt, share) if k else 0.0 for k, c, t, lc, lt in zip(keep, chars, tags, link_chars, link_tags, strict=True)]
+    sums, leaf = [0.0] * n, list(block)
     for i in range(1, n):
-        if keep[i]:
-            leaf[tree.parents[i]] = False
-            sums[tree.parents[i]] += density[i]
-    return density, [density[i] if leaf[i] else sums[i] for i in range(n)], chars
+        if keep[i] and block[i]:
+            leaf[around[i]] = False
+            sums[around[i]] += density[i]
+    for i in range(n):
+        if leaf[i]:
+            sums[i] = density[i]
+        elif block[i] and own[i]:
+            sums[i] += _density(own[i], 1, 0, 0, share)
+    return density, sums, chars, link_chars
 
 
 def _marked(tree: _Tree, keep: list[bool]) -> list[bool] | None:
     """The nodes of the main text; None if no node that stays holds a character."""
-    density, sums, chars = _densities(tree, keep)
+    density, sums, chars, link_chars = _densities(tree, keep)
     n = len(tree.tags)
     if not chars[0]:
         return None
     best = list(range(n))
     for i in range(n - 1, 0, -1):
         up = tree.parents[i]
-        if keep[i] and chars[i] and sums[best[i]] > sums[best[up]]:
-            best[up] = best[i]
+        if keep[i] and chars[i] and (sums[best[i]] > sums[best[up]] or best[up] != up and sums[best[i]] == sums[best[up]]):
+            best[up] = best[i]  # the first of equals, a node before those it holds
     top, marks = best[0], [False] * n
 
     def mark(node: int) -> None:
         marks[node:tree.ends[node]] = [True] * (tree.ends[node] - node)
 
-    whole, i, threshold = None, top, density[top]
+    path, i, threshold, whole = [], top, density[top], 0
     while i > 0:
-        if tree.tags[i] in ("article", "main") and (whole is None or tree.tags[i] == "article"):
+        if tree.tags[i] in ("article", "main") and (not whole or tree.tags[i] == "article"):
             whole = i
-        threshold = min(threshold, density[i])
+        threshold = min(threshold, density[i]) if tree.tags[i] != "html" else threshold
         i = tree.parents[i]
-    if whole is not None:
-        mark(whole)
-        return marks
+        path.append(i)
+
+    def inside(node: int) -> bool:
+        return whole <= node < tree.ends[whole]
+
+    def children(node: int) -> list[int]:
+        found, child = [], node + 1
+        while child < tree.ends[node]:
+            if keep[child] and chars[child]:
+                found.append(child)
+            child = tree.ends[child]
+        return found
+
+    mark(top)
     todo = [0]
     while todo:
         node = todo.pop()
-        if node == 0 or density[node] >= threshold:
+        weight = 1 if inside(node) or node <= top < tree.ends[node] else OUTSIDE_WEIGHT
+        if tree.tags[node] in ("#page", "html") or density[node] * weight >= threshold:
             if chars[node] and not marks[best[node]]:
                 mark(best[node])
-            child = node + 1
-            while child < tree.ends[node]:
-                if keep[child] and not marks[child]:
-                    todo.append(child)
-                child = tree.ends[child]
+            todo += [x for x in children(node) if not marks[x]]
+    # Short blocks around the chosen node: those between marked ones, and headings that lead to one.
+    marked = [0, *accumulate(marks)]
+    for up in path:
+        if not inside(up):
+            break
+        row = children(up)
+        held = [marked[tree.ends[x]] > marked[x] for x in row]
+        first, last = held.index(True), len(held) - 1 - held[::-1].index(True)
+        leads = True
+        for k in range(last, -1, -1):
+            heading = tree.tags[row[k]] in HEADINGS
+            if not held[k] and (k > first or heading and leads) and 2 * link_chars[row[k]] <= chars[row[k]]:
+                mark(row[k])
+            leads = held[k] or heading and leads
     return marks
 
 
