@@ -11,11 +11,11 @@ from stockline.functions import dates, metrics
 from stockline.functions.distance import METRICS, distance
 from stockline.operators import (
     averages, clean, density, dims, embedding, frequency, model, promo, recency, trailing)
-from stockline.plans import baseline, train
+from stockline.plans import baseline, embed, train
 from stockline.plans.score import score_day, scoring_rows
 from stockline.session import durable, fresh_folder
 from stockline.sources import files, tables
-from stockline.sources.store import FeatureStore, FeatureTable, repeated_keys
+from stockline.sources.store import SAVE_MODES, FeatureStore, FeatureTable, repeated_keys
 from stockline.spec import FeaturePlan, RecencySpec, TrailingSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -501,6 +501,16 @@ def fs_missing_months(spark, folder):
     return store.missing_months("brand_days", tables.START, tables.END)
 
 
+@query("months_to_write")
+def months_to_write(spark, folder):
+    """What a run has to write in each save mode where May and later July of 1997 are missing, and where there is no table."""
+    store, period = scratch_store(spark), ("1997-01-01", "1997-08-31")
+    store.save_feature(brand_days(spark, folder), lambda df: df.filter(~F.month(spec.DATE).isin(5, 7)), "brand_days", *period)
+    found = [(name, mode, month) for name in ("brand_days", "absent") for mode in SAVE_MODES
+             for month in store.months_to_write(name, *period, mode)]
+    return spark.createDataFrame(found, f"name string, mode string, {spec.MONTH} date")
+
+
 @query("combine_features")
 def combine_features(spark, folder):
     """The fact with the position of its store and two group-day feature tables, stored by month."""
@@ -586,6 +596,67 @@ def csv_quarantine(spark, folder):
     return good.unionByName(bad, allowMissingColumns=True)
 
 
+@query("csv_strings")
+def csv_strings(spark, folder):
+    """Sales written as text and read back without a schema: every column is a string."""
+    path = fresh_folder(spark, "csv")
+    tables.sales(spark, folder).select(*tables.KEYS, spec.DATE, spec.SOLD, spec.PROMOTION).write.option("header", True).csv(path)
+    return files.read_csv(spark, path)
+
+
+@query("overwritten_table")
+def overwritten_table(spark, folder):
+    """A table replaced by one of other columns and partitions, beside the rows that both writes reported."""
+    path, rows = f"{fresh_folder(spark, 'table')}/sales", tables.sales(spark, folder)
+    first = files.overwrite_table(rows.select(*tables.KEYS), path)
+    second = files.overwrite_table(rows.filter(F.col(spec.SOLD) == 1).select(
+        "OrderKey", "LineNumber", spec.QUANTITY, spec.MONTH), path, partition_by=spec.MONTH)
+    return files.read_table(spark, path).select(
+        "*", F.lit(first).cast("long").alias("first_rows"), F.lit(second).cast("long").alias("second_rows"))
+
+
+@query("csv_report")
+def csv_report(spark, folder):
+    """A small result exported as one file of a given name and read back."""
+    path = files.export_csv(frequency.category_counts(tables.sales(spark, folder), spec.PROMOTION), fresh_folder(spark, "report"), "promotions")
+    return files.read_csv(spark, path, "code string, n long")
+
+
+@query("category_files")
+def category_files(spark, folder):
+    """Item to category to group, from two files with the names that such files have."""
+    root = fresh_folder(spark, "categories")
+    back = {ours: theirs for theirs, ours in files.CATEGORY_NAMES.items()}
+    tables.categories(spark, folder).withColumnsRenamed(back).write.option("header", True).csv(f"{root}/items")
+    tables.category_groups(spark, folder).write.option("header", True).csv(f"{root}/groups")
+    groups = files.read_category_groups(spark, f"{root}/groups", spec.CATEGORY_2, spec.CATEGORY_1)
+    return files.read_categories(spark, f"{root}/items").join(groups, spec.CATEGORY_2, "left").select(
+        spec.ITEM, spec.CATEGORY_2, spec.CATEGORY_1)
+
+
+@query("named_flags")
+def named_flags(spark, folder):
+    """The flags of the frequent promotions, found by the shape of their names."""
+    flagged = promo.with_promo_flags(tables.sales(spark, folder), FLAGS)
+    return flagged.select(*tables.KEYS, spec.DATE, *sorted(embed.promo_columns(flagged, 1.0, "^LS_[A-Z]$")))
+
+
+@query("row_ids")
+def row_ids(spark, folder):
+    """Rows, and how many different numbers they got."""
+    return clean.with_row_ids(tables.sales(spark, folder)).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("idx").alias("numbers"))
+
+
+@query("random_parts")
+def random_parts(spark, folder):
+    """A random split has every row once, and about nine tenths of them in the first part."""
+    rows = durable(tables.sales(spark, folder).select(*tables.KEYS, spec.DATE))
+    first, second = (durable(part) for part in clean.random_split(rows))
+    near = abs(first.count() / max(rows.count(), 1) - 0.9) < 0.03
+    return first.unionByName(second).withColumn("near", F.lit(near))
+
+
 @query("anti_remainder")
 def anti_remainder(spark, folder):
     rows = tables.sales(spark, folder).select(*tables.KEYS, spec.DATE, spec.SOLD)
@@ -642,15 +713,35 @@ def dbscan_noise(spark, folder):
 
 # --- models ----------------------------------------------------------------
 
+FIRST_HALF = "1995-07-01"
+
+
 @query("string_index")
 def string_index(spark, folder):
     rows = tables.sales_for(spark, folder, (spec.CATEGORY_2,)).select(*tables.KEYS, spec.DATE, spec.CATEGORY_2)
     return model.string_indexer([spec.CATEGORY_2]).fit(rows).transform(rows)
 
 
-def trained(spark, folder, plan: FeaturePlan, **params) -> train.Trained:
+@query("category_index")
+def category_index(spark, folder):
+    """Items numbered by how often they sold in the first half year; those sold later only share the last number."""
+    rows = tables.sales(spark, folder).select(*tables.KEYS, spec.DATE)
+    before, _ = clean.split_by_day(rows, FIRST_HALF)
+    return frequency.with_codes(rows, frequency.category_codes(before, spec.ITEM), spec.ITEM, "item_idx")
+
+
+@query("label_codes")
+def label_codes(spark, folder):
+    """The numbers of all labels of three categorical columns."""
+    rows = tables.sales_for(spark, folder, (spec.CATEGORY_2, "DistrictEN", "DayOfWeek"))
+    codes = [frequency.category_codes(rows, c).select(F.lit(c).alias("column"), "code", "place")
+             for c in (spec.CATEGORY_2, "DistrictEN", "DayOfWeek")]
+    return codes[0].unionByName(codes[1]).unionByName(codes[2])
+
+
+def trained(spark, folder, plan: FeaturePlan, rows: DataFrame | None = None, **params) -> train.Trained:
     """The training job on the test tables: stored features, a fitted forest, its predictions."""
-    rows = tables.with_supply_price(tables.sales(spark, folder), folder)
+    rows = tables.with_supply_price(tables.sales(spark, folder) if rows is None else rows, folder)
     periods = train.Periods(tables.START, tables.START_DEV, tables.START_OOT, tables.END)
     return train.train(rows, tables.dimensions(spark, folder), scratch_store(spark), fresh_folder(spark, "model"),
                        plan, periods, promo_cutoff=1, months_per_commit=100, seed=7, **params)
@@ -706,6 +797,38 @@ def score_two_days(spark, folder):
     return out
 
 
+def planted(spark, folder) -> DataFrame:
+    """Sales whose quantity follows from the promotion alone: 40 under RF_A, otherwise 10."""
+    rows = tables.sales(spark, folder)
+    quantity = F.when(F.array_contains(F.split(spec.PROMOTION, r"\|"), "RF_A"), 40).otherwise(10)
+    return rows.withColumn(spec.QUANTITY, quantity.cast(rows.schema[spec.QUANTITY].dataType))
+
+
+@query("planted_forecast")
+def planted_forecast(spark, folder):
+    """The whole job where the quantity follows from one flag: values forecast, values scored, and the importance table.
+
+    Every tree that may look at all inputs splits on that flag alone, so each
+    value is exact; a flag lost or shifted anywhere on the way changes them.
+    """
+    rows = planted(spark, folder)
+    fitted = trained(spark, folder, FULL_PLAN, rows, numTrees=10, maxDepth=5, featureSubsetStrategy="all")
+    value = (*tables.KEYS, spec.DATE, "prediction")
+    forecast = fitted.predictions.select(F.lit("forecast").alias("part"), *value)
+    scored = durable(score_day(tables.with_supply_price(rows, folder), tables.dimensions(spark, folder), scratch_store(spark),
+                               fitted.model_path, "2001-10-27", FULL_PLAN).select(F.lit("score").alias("part"), *value))
+    importance = fitted.importance.withColumn("part", F.lit("importance"))
+    return rounded(forecast.unionByName(scored).unionByName(importance, allowMissingColumns=True))
+
+
+@query("planted_boosted")
+def planted_boosted(spark, folder):
+    """Values of the boosted pipeline, saved and loaded again, where the quantity follows from the promotion."""
+    rows = dates.with_calendar(planted(spark, folder)).withColumns({c: F.col(c).cast("string") for c in (spec.ITEM, spec.STORE)})
+    predicted, _ = baseline.boosted_baseline(rows, fresh_folder(spark, "gbt"), tables.START_OOT, maxIter=5, maxDepth=4, seed=7)
+    return rounded(predicted.select(*tables.KEYS, spec.DATE, "prediction"))
+
+
 # --- embeddings ------------------------------------------------------------
 
 PROMO_WEIGHTS = {"RF_A": [0.5, -1.25], "RF_R": [1.5, 0.25], "LS_F": [-0.75, 2.0]}
@@ -724,6 +847,28 @@ def made_vectors(spark, folder) -> DataFrame:
     return brands.unionByName(days)
 
 
+@query("saved_vectors")
+def saved_vectors(spark, folder):
+    """Vectors of categories and promotions, stored as tables and loaded again, one row a number."""
+    path = fresh_folder(spark, "vectors")
+    promos = spark.createDataFrame(list(PROMO_WEIGHTS.items()), "promo string, vector array<double>")
+    embedding.Embeddings(made_vectors(spark, folder), promos).save(path)
+    loaded = embedding.load_embeddings(spark, path)
+    both = loaded.categories.unionByName(loaded.promos.select(F.lit("promo").alias("column"), F.col("promo").alias("category"), "vector"))
+    return both.select("column", "category", F.posexplode("vector").alias("place", "value"))
+
+
+@query("embedding_rows")
+def embedding_rows(spark, folder):
+    """Inputs of the vectors: categories as text, unknown ones named, numbers that are none turned into zero."""
+    rows = promo.with_promo_flags(tables.sales_for(spark, folder, ("DayOfWeek",)), FLAGS)
+    line = F.col("LineNumber")
+    holes = rows.withColumn("avgPrice", F.when(line % 3 == 0, float("nan")).when(line % 3 == 1, F.col("avgPrice"))).withColumn(
+        "DayOfWeek", F.when(line % 2 != 0, F.col("DayOfWeek")))
+    ready = embedding.clean_for_embedding(holes, ["DayOfWeek"], ["avgPrice"], FLAGS)
+    return rounded(ready.select(*tables.KEYS, spec.DATE, "DayOfWeek", "avgPrice", *FLAGS))
+
+
 @query("embedding_lookup")
 def embedding_lookup(spark, folder):
     rows = tables.sales_for(spark, folder, (spec.CATEGORY_2, "DayOfWeek")).select(

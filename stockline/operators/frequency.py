@@ -85,3 +85,25 @@ def frequent_categories(df: DataFrame, cutoff: float, column: str) -> DataFrame:
 
 def sort_by_count(counts: DataFrame, code: str = "code", count: str = "n") -> DataFrame:
     return counts.orderBy(F.col(count).desc(), F.col(code).asc())
+
+
+def category_codes(df: DataFrame, column: str, code: str = "code", place: str = "place") -> DataFrame:
+    """``(code, place)``: values of a column as text, numbered by falling frequency, ties by name.
+
+    The same numbers as those of an index fitted by ``pyspark.ml``, but as a
+    table: no list of values comes to the driver or into a model, so the column
+    may be an identifier. NULL is no value.
+    """
+    counts = category_counts(df.select(F.col(column).cast("string").alias(code)).filter(F.col(code).isNotNull()), code, code)
+    numbered = running_total(counts.withColumn("__one", F.lit(1).cast("long")), [F.col("n").desc(), F.col(code)], "__one", place)
+    return numbered.select(code, (F.col(place) - 1).cast("double").alias(place))
+
+
+def with_codes(df: DataFrame, codes: DataFrame, column: str, out: str, code: str = "code", place: str = "place") -> DataFrame:
+    """Add the number of each row's value; unknown ones and NULL share the number after the last.
+
+    The codes join at their measured size once they are written; hot values of a shuffled join are split by adaptive execution.
+    """
+    known = durable(codes.select(F.col(code).alias("__code"), F.col(place).alias("__place")))
+    joined = df.join(known, F.col(column).cast("string") == F.col("__code"), "left")
+    return joined.select(*df.columns, F.coalesce("__place", F.lit(float(known.count()))).alias(out))

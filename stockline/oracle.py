@@ -533,6 +533,26 @@ def store_sql() -> dict[str, str]:
             DATE '{day}' AS "Date", TRUE AS predicted FROM base
             WHERE "Date" = DATE '{day}' OR "Date" = DATE '{day}' - 7)"""
             for call, day in enumerate(("2001-10-20", "2001-10-27", "2001-11-01"), 1)),
+        "months_to_write": f"""WITH {FULL}, months AS (
+            SELECT DISTINCT Date_EOM FROM base WHERE "Date" BETWEEN DATE '1997-01-01' AND DATE '1997-08-31'),
+            modes AS (SELECT unnest(['', 'overwrite', 'soft_overwrite']) AS mode)
+            SELECT 'absent' AS name, mode, Date_EOM FROM modes, months
+            UNION ALL SELECT 'brand_days', mode, Date_EOM FROM modes, months
+            WHERE mode = 'overwrite' OR mode = 'soft_overwrite' AND month(Date_EOM) >= 5""",
+        "csv_strings": f"""WITH {FULL} SELECT CAST(OrderKey AS VARCHAR) AS OrderKey, CAST(LineNumber AS VARCHAR) AS LineNumber,
+            CAST(MaterialCode AS VARCHAR) AS MaterialCode, CAST(BranchCode AS VARCHAR) AS BranchCode,
+            strftime("Date", '%Y-%m-%d') AS "Date", CAST(label AS VARCHAR) AS label, types FROM base""",
+        "overwritten_table": f"""WITH {FULL} SELECT OrderKey, LineNumber, TotalQtySale, Date_EOM,
+            (SELECT count(*) FROM base) AS first_rows, (SELECT count(*) FROM base WHERE label = 1) AS second_rows
+            FROM base WHERE label = 1""",
+        "csv_report": f"""WITH {FULL} SELECT types AS code, count(*) AS n FROM base GROUP BY 1""",
+        "category_files": """SELECT CAST(p_partkey AS VARCHAR) AS MaterialCode, p_brand AS product_cat_lv2,
+            CASE WHEN CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INTEGER) <= 20
+                 THEN 'group_' || (CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INTEGER) % 4) END AS product_cat_lv1
+            FROM part""",
+        "named_flags": f"""WITH {FULL} SELECT {full_row}, {flag_sql('LS_F')} AS LS_F, {flag_sql('LS_O')} AS LS_O FROM base""",
+        "row_ids": f"""WITH {FULL} SELECT count(*) AS n, count(*) AS numbers FROM base""",
+        "random_parts": f"""WITH {FULL} SELECT {full_row}, TRUE AS near FROM base""",
         "anti_remainder": f"""WITH {FULL} SELECT {full_row}, label FROM base WHERE label <> 1""",
     }
 
@@ -570,6 +590,7 @@ def density_sql() -> dict[str, str]:
 def model_sql() -> dict[str, str]:
     number = "CAST(regexp_extract(product_cat_lv2, '([0-9]+)$', 1) AS DOUBLE)"
     weekday = "DayOfWeek * {}"
+    planted = "CAST(CASE WHEN list_contains(string_split(types, '|'), 'RF_A') THEN 40 ELSE 10 END AS DOUBLE)"
     weights = {"RF_A": (0.5, -1.25), "RF_R": (1.5, 0.25), "LS_F": (-0.75, 2.0)}
     flags = ", ".join(f"{flag_sql(c)} AS {c}" for c in weights)
     sums = ", ".join(
@@ -581,6 +602,37 @@ def model_sql() -> dict[str, str]:
             FROM sales GROUP BY 1)
             SELECT {KEYS}, "Date", product_cat_lv2, CAST(place AS DOUBLE) AS product_cat_lv2_idx
             FROM sales JOIN ranked USING (product_cat_lv2)""",
+        "category_index": f"""WITH {FULL}, ranked AS (
+            SELECT MaterialCode, row_number() OVER (ORDER BY count(*) DESC, CAST(MaterialCode AS VARCHAR)) - 1 AS place
+            FROM base WHERE "Date" < DATE '1995-07-01' GROUP BY 1)
+            SELECT {KEYS}, "Date", CAST(coalesce(place, (SELECT count(*) FROM ranked)) AS DOUBLE) AS item_idx
+            FROM base LEFT JOIN ranked USING (MaterialCode)""",
+        "label_codes": f"""WITH {FULL}, labels AS (
+            SELECT 'product_cat_lv2' AS "column", product_cat_lv2 AS code FROM sales
+            UNION ALL SELECT 'DistrictEN', DistrictEN FROM sales
+            UNION ALL SELECT 'DayOfWeek', CAST(DayOfWeek AS VARCHAR) FROM sales)
+            SELECT "column", code, CAST(row_number() OVER (PARTITION BY "column" ORDER BY count(*) DESC, code) - 1 AS DOUBLE) AS place
+            FROM labels WHERE code IS NOT NULL GROUP BY 1, 2""",
+        "planted_forecast": f"""WITH {FULL} SELECT 'forecast' AS part, {KEYS}, "Date", {planted} AS prediction,
+              NULL AS feature_name, NULL AS importance, NULL AS cumsum FROM base
+            WHERE Date_EOM BETWEEN last_day(DATE '{START_OOT}') AND last_day(DATE '{END}')
+            UNION ALL SELECT 'score', {KEYS}, DATE '2001-10-27', {planted}, NULL, NULL, NULL FROM base
+            WHERE "Date" IN (DATE '2001-10-27', DATE '2001-10-20')
+            UNION ALL SELECT 'importance', NULL, NULL, NULL, NULL, NULL, NULL, 'RF_A', CAST(1 AS DOUBLE), CAST(1 AS DOUBLE)""",
+        "planted_boosted": f"""WITH {FULL},{SPLIT} SELECT OrderKey, LineNumber,
+            CAST(MaterialCode AS VARCHAR) AS MaterialCode, CAST(BranchCode AS VARCHAR) AS BranchCode, "Date",
+            {planted} AS prediction FROM test WHERE types IN (SELECT types FROM train)""",
+        "saved_vectors": f"""WITH {FULL}, vectors AS (
+            SELECT DISTINCT 'product_cat_lv2' AS "column", p_brand AS category,
+              [CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS DOUBLE) / 2, -CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS DOUBLE) / 4, 1.0] AS v FROM part
+            UNION ALL SELECT DISTINCT 'DayOfWeek', CAST(DayOfWeek AS VARCHAR), [DayOfWeek * 1.5, DayOfWeek * -0.5] FROM sales
+            UNION ALL VALUES ('promo', 'RF_A', [0.5, -1.25]), ('promo', 'RF_R', [1.5, 0.25]), ('promo', 'LS_F', [-0.75, 2.0]))
+            SELECT "column", category, place - 1 AS place, CAST(v[place] AS DOUBLE) AS value
+            FROM (SELECT *, unnest(range(1, len(v) + 1)) AS place FROM vectors)""",
+        "embedding_rows": f"""WITH {FULL} SELECT {KEYS}, "Date",
+            CASE WHEN LineNumber % 2 <> 0 THEN CAST(DayOfWeek AS VARCHAR) ELSE 'others' END AS DayOfWeek,
+            {rnd('CASE WHEN LineNumber % 3 = 1 THEN avgPrice ELSE 0 END')} AS avgPrice,
+            {", ".join(f"{flag_sql(c)} AS {c}" for c in ("RF_A", "RF_R", "LS_F", "LS_O"))} FROM sales""",
         "rf_forecast": f"""WITH {FULL} SELECT {KEYS}, "Date", TotalQtySale, TRUE AS inside FROM base
             WHERE Date_EOM BETWEEN last_day(DATE '{START_OOT}') AND last_day(DATE '{END}')""",
         "feature_importance": """SELECT TRUE AS adds_up, TRUE AS positive, TRUE AS reaches_one,

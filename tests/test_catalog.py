@@ -17,6 +17,8 @@ SAMPLE = [
     "clean_province", "month_calendar", "lat_long", "basic_features", "freq_cut_categorical", "cumsum_share",
     "baseline_grouping_sets", "eval_metrics", "oos_metrics", "mape_zero_safe", "fs_missing_months",
     "scoring_day_rows", "fs_second_period", "fs_replace_empty_month", "eps_neighbors", "stratified_split", "core_points", "string_index", "promo_embedding",
+    "months_to_write", "csv_strings", "overwritten_table", "csv_report", "category_files", "named_flags", "row_ids", "random_parts",
+    "category_index", "label_codes", "planted_boosted", "saved_vectors", "embedding_rows",
 ]
 
 
