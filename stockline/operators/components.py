@@ -32,7 +32,11 @@ def dealt_edges(directed: DataFrame, rows: int, least: Column | None = None) ->
     """
     ordinary = max(ORDINARY, rows // MOST_HEAVY)
     best = F.min("v") if least is None else least
-    nodes = directed.groupBy("u").agg(best.alias("least"), F.ceil(F.count(F.lit(1)) / ordinary).alias("parts"))
+    return _dealt(directed, directed.groupBy("u").agg(best.alias("least"), F.ceil(F.count(F.lit(1)) / ordinary).alias("parts")))
+
+
+def _dealt(directed: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As ``dealt_edges``, from nodes with ``least`` and their number of ``parts``."""
     parts = nodes.select("u", "least", F.explode(F.sequence(F.lit(1).cast("long"), "parts")).alias("part"))
     heavy = nodes.filter("parts > 1").select("u", "parts")
     dealt = directed.join(F.broadcast(heavy), "u", "left").select(
@@ -40,23 +44,36 @@ def dealt_edges(directed: DataFrame, rows: int, least: Column | None = None) ->
     return dealt, parts
 
 
-def _with_least(directed: DataFrame, rows: int) -> DataFrame:
-    """Each edge with the smallest node among ``u`` and its neighbours."""
-    dealt, least = dealt_edges(directed, rows)
-    return dealt.join(least, ["u", "part"]).select("u", "v", F.least("u", "least").alias("least"))
-
+def _with_least(directed: DataFrame, rows: int, used: list[str]) -> DataFrame:
+    """Each edge with the smallest node among ``u`` and its neighbours.
 
-def _large_star(edges: DataFrame, rows: int) -> DataFrame:
-    linked = _with_least(_both_ways(edges), 2 * rows)
+    ``directed`` must be cheap to read twice. The nodes' totals are written
+    first: only where some node is heavy are edges dealt, so a round without
+    one is a plain join, planned and broadcast by the true size of the totals.
+    Their path is added to ``used``, for the caller to delete.
+    """
+    ordinary = max(ORDINARY, rows // MOST_HEAVY)
+    totals = directed.groupBy("u").agg(F.min("v").alias("least"), F.count(F.lit(1)).alias("n"))
+    nodes, path = on_new_path(totals, "nodes")
+    used.append(path)
+    if nodes.filter(F.col("n") > ordinary).isEmpty():
+        linked = directed.join(nodes, "u")
+    else:
+        dealt, least = _dealt(directed, nodes.withColumn("parts", F.ceil(F.col("n") / ordinary)))
+        linked = dealt.join(least, ["u", "part"])
+    return linked.select("u", "v", F.least("u", "least").alias("least"))
+
+
+def _large_star(edges: DataFrame, rows: int, used: list[str]) -> DataFrame:
+    linked = _with_least(_both_ways(edges), 2 * rows, used)
     return linked.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("least").alias("v"))
 
 
-def _small_star(edges: DataFrame, rows: int) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int, used: list[str]) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    linked = _with_least(down, rows)
-    moved = linked.select(F.col("v").alias("u"), F.col("least").alias("v"))
-    own = linked.select("u", F.col("least").alias("v"))
-    return moved.unionAll(own)
+    linked = _with_least(down, rows, used)
+    pairs = F.array(F.struct(F.col("v").alias("u"), F.col("least").alias("v")), F.struct("u", F.col("least").alias("v")))
+    return linked.select(F.inline(pairs))
 
 
 def _tidy(edges: DataFrame) -> DataFrame:
@@ -82,10 +99,12 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node")
         mark = _fingerprint(current)
         if mark == before or mark[0] == 0:
             break
-        before, old = mark, path
+        before, used = mark, [path]
         # A large star makes no more edges than both directions of what it is given.
-        current, path = on_new_path(_tidy(_small_star(_large_star(current, mark[0]), 2 * mark[0])), "stars")
-        remove_path(spark, old)
+        wide, between = on_new_path(_large_star(current, mark[0], used), "stars")
+        current, path = on_new_path(_tidy(_small_star(wide, 2 * mark[0], used)), "stars")
+        for old in (*used, between):
+            remove_path(spark, old)
     roots = current.groupBy(F.col("u").alias(node)).agg(F.min("v").alias("component"))
     return (nodes.select(node).join(roots, node, "left")
             .select(node, F.coalesce("component", node).alias("component")))
