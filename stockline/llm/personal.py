@@ -6,10 +6,9 @@ Everything here is DataFrame work: no Python runs on the executors.
 * Candidates: wider patterns find addresses and runs of numbers. Every part of a run that begins and ends with a
   group of digits is proposed as each kind that its digits fit, so proposals overlap and neighbouring numbers are told apart. Each carries features of its format (digits,
   groups, separators, signs) and of its context (the characters and words beside it).
-* The trees are fitted with ``pyspark.ml`` on distinct feature vectors, weighted by how many distinct values have
-  them, so repeated rows change nothing. Of each kind and label at most an eighth of ``sample`` vectors is drawn, by
-  priority sampling: frequent vectors stay, and the weights of the rest stand for those left out. A kind weighs
-  no more than a quarter of ``sample``. An address that overlaps a base span is a positive, and so is a number that is a base span of its kind; so is a copy
+* The trees are fitted with ``pyspark.ml`` on all distinct feature vectors, weighted by how many distinct values have
+  them, so repeated rows change nothing. Nothing is drawn from them: ``sample`` only scales weights, of which a kind has
+  no more than a quarter of it. An address that overlaps a base span is a positive, and so is a number that is a base span of its kind; so is a copy
   with its telltale sign taken away, or the trees would only look for that sign; other proposals are negatives, and
   so are numbers in common formats that are no personal data (dates, amounts, versions, book numbers). Not judged are the
   ends of base spans, which may be such copies, and parts of runs that would be base spans if they stood alone.
@@ -243,27 +242,20 @@ class SpanModel:
 
 
 def _weighted(found: DataFrame, sample: int) -> DataFrame:
-    """``(f, label, apart, weight, shown)``: a vector's ``shown`` is the number of values it stands for, ``weight`` the same within the kind's bound."""
+    """``(f, label, apart, weight, shown)``: every distinct vector; ``shown`` is the number of values that have it, ``weight`` the same within the kind's bound."""
     each = found.filter(F.size("wide") > 0).select(F.explode("wide").alias("p")).select("p.f", "p.plain", "p.label", "p.v").filter("label is not null")
     each = each.withColumn("apart", F.pmod("v", F.lit(3)) == 0)
-    groups = each.groupBy("f", "plain", "label", "apart").agg(F.count_distinct("v").cast("double").alias("n"))
-    chance = (F.pmod(F.xxhash64("f", "plain", "label", "apart"), F.lit(1 << 40)) + 1) / F.lit(float(1 << 40))
-    groups = stored(groups.select("*", F.get("f", F.lit(0)).cast("int").alias("kind"), (F.col("n") / chance).alias("priority")), "vectors")
-    strata, most = [(k, y) for k in range(len(KINDS)) for y in (0, 1)], max(sample // (2 * len(KINDS)), 1)
-    drawn = [groups.filter((F.col("kind") == k) & (F.col("label") == y)).orderBy(F.desc("priority"), "f", "plain", "apart").limit(most + 1) for k, y in strata]
-    drawn = stored(reduce(DataFrame.unionByName, drawn), "drawn")
-    cut = {(r["kind"], r["label"]): r["least"] if r["rows"] > most else 0.0 for r in drawn.groupBy("kind", "label").agg(
-        F.count("*").alias("rows"), F.min("priority").alias("least")).collect()}
-    limit = F.coalesce(*[F.when((F.col("kind") == k) & (F.col("label") == y), t) for (k, y), t in sorted(cut.items())], F.lit(0.0))
-    drawn = drawn.withColumn("limit", limit).filter("priority > limit").withColumn("shown", F.greatest("n", "limit"))
-    total = {r["kind"]: r["n"] for r in drawn.groupBy("kind").agg(F.sum("shown").alias("n")).collect()}
+    groups = each.groupBy("f", "plain", "label", "apart").agg(F.count_distinct("v").alias("n"))
+    groups = stored(groups.withColumn("kind", F.get("f", F.lit(0)).cast("int")), "vectors")
+    total = {r["kind"]: r["n"] for r in groups.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
     scale = F.coalesce(*[F.when(F.col("kind") == k, min(1.0, sample / len(KINDS) / n)) for k, n in sorted(total.items())], F.lit(1.0))
-    return drawn.select(F.explode(F.when(F.col("label") == 1, F.array("f", "plain")).otherwise(F.array("f"))).alias("f"), "label", "apart",
-                        (F.col("shown") * scale).alias("weight"), "shown")
+    both = groups.select(F.explode(F.when(F.col("label") == 1, F.array("f", "plain")).otherwise(F.array("f"))).alias("f"), "label", "apart", "kind", "n")
+    merged = both.groupBy("f", "label", "apart", "kind").agg(F.sum("n").cast("double").alias("shown"))
+    return merged.select("f", "label", "apart", (F.col("shown") * scale).alias("weight"), "shown")
 
 
 def fit_spans(found: DataFrame, sample: int = 20_000, rounds: int = 12, depth: int = 4, precision: float = 0.99, least: int = 30, seed: int = 7) -> SpanModel:
-    """Fit on the proposals of ``found`` and choose the thresholds on the part set apart."""
+    """Fit on all proposals of ``found`` and choose the thresholds on all of the part set apart."""
     rows = stored(_weighted(found, sample).unionByName(_hard_negatives(found).withColumns({"weight": F.lit(1.0), "shown": F.lit(0.0)})), "spans")
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.sum(F.greatest("weight", "shown")).alias("n")).collect()}
     if min(counts.get(0, 0), counts.get(1, 0)) < least:

@@ -67,3 +67,16 @@ def test_long_runs_have_parts_in_proportion(spark):
     frame = table(spark, ["12 345 " * n for n in (500, 1000)])
     sizes = {r["doc_id"]: r["n"] for r in personal.candidates(frame, ["doc_id"]).select("doc_id", F.size("wide").alias("n")).collect()}
     assert 0 < sizes[100001] < 2.1 * sizes[100000]
+
+
+def test_every_distinct_vector_counts(spark, texts):
+    found = personal.candidates(table(spark, texts), ["doc_id"])
+    each = found.select(F.explode("wide").alias("p")).filter("p.label is not null")
+    rows = personal._weighted(found, sample=80)
+    want = each.selectExpr("explode(if(p.label = 1, array(p.f, p.plain), array(p.f))) as f", "p.label").distinct()
+    assert want.count() > 80 and want.exceptAll(rows.select("f", "label").distinct()).isEmpty()
+    values = {r["y"]: r["n"] for r in each.groupBy(F.col("p.label").alias("y")).agg(
+        F.count_distinct("p.f", "p.plain", "p.v").alias("n")).collect()}
+    shown = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.sum("shown").alias("n")).collect()}
+    assert shown == {0: values[0], 1: 2 * values[1]}
+    assert rows.agg(F.sum("weight")).first()[0] <= 2 * 80
