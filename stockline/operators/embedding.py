@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stockline import spec
 from stockline.operators.clean import fill_numbers, fill_strings, nan_to_null
 from stockline.operators.model import string_indexer
+from stockline.session import on_file
 from stockline.sources.files import overwrite_table, read_table
 
 # Fixed value: the longest vector of a category.
@@ -101,7 +102,12 @@ def _spread(vector: Column, prefix: str, size: int) -> list[Column]:
 
 
 def with_category_embeddings(df: DataFrame, lookup: DataFrame, columns: dict[str, int]) -> DataFrame:
-    """Add ``{column}_embed{i}`` for each column and its vector length; unknown is 0."""
+    """Add ``{column}_embed{i}`` for each column and its vector length; unknown is 0.
+
+    The lookup is written first: by its true size a small one is broadcast,
+    where an estimate would shuffle all rows of a category into one task.
+    """
+    lookup = on_file(lookup, "vectors")
     for column, size in columns.items():
         vectors = lookup.filter(F.col("column") == column).select(
             F.col("category").alias("__category"), F.col("vector").alias("__vector"))

@@ -196,3 +196,12 @@ def test_unseen_and_absent_identifiers_have_a_mean(spark):
     fitted = model.HashedMeans(["c"], ["m"], "y", 1 << 12).fit(seen)
     new = spark.createDataFrame([("a",), ("b",), (None,)], "c string")
     assert {r.c: r.m for r in fitted.transform(new).collect()} == {"a": 3.0, "b": 6.0, None: 12.0}
+
+
+def test_a_small_lookup_of_large_estimate_is_broadcast(spark):
+    rows = spark.range(1000).select((F.col("id") % 5).cast("string").alias("c"))
+    lookup = spark.range(3_000_000).select((F.col("id") % 5).cast("string").alias("category")).distinct().select(
+        F.lit("c").alias("column"), "category", F.array(F.lit(1.0)).alias("vector"))
+    out = embedding.with_category_embeddings(rows, lookup, {"c": 1})
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    assert out.agg(F.sum("c_embed0")).first()[0] == 1000
