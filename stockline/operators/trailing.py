@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, t
 
 from stockline import spec as names
 from stockline.functions.dates import as_date, month_end, shift_days
+from stockline.session import small_methods
 from stockline.spec import TrailingSpec
 
 DAY = "__day"
@@ -206,6 +207,7 @@ def with_sum_ratios(df: DataFrame, spec: TrailingSpec) -> DataFrame:
 
 def daily_features(daily: DataFrame, spec: TrailingSpec, start=None, end=None) -> DataFrame:
     """All trailing columns from totals per group and day."""
+    small_methods(daily.sparkSession)
     full = (daily
             .transform(with_sums, spec)
             .transform(with_averages, spec)

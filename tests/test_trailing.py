@@ -211,3 +211,15 @@ def test_rollup_gives_the_same_features(spark, small):
     runs = RecencySpec("cat_lv2_br", (spec.CATEGORY_2, spec.STORE), horizons=(60,))
     a, b = recency.recency_features(fact, runs), recency.recency_features(rolled, runs, rolled=True)
     assert a.exceptAll(b).isEmpty() and a.count() == b.count()
+
+
+def test_no_method_is_too_large_to_be_compiled(spark):
+    """The fused code of all statistics is larger than the virtual machine compiles, so it must not be fused."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(limit)
+    trailing.trailing_features(series(spark, [("a", 0, 1, 1), ("a", 9, 2, 1)]), one_measure())
+    assert int(spark.conf.get(limit)) <= 8000
+    spark.conf.set(limit, 4000)
+    trailing.trailing_features(series(spark, [("a", 0, 1, 1)]), one_measure())
+    assert int(spark.conf.get(limit)) == 4000
+    spark.conf.unset(limit)
