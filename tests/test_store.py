@@ -1,9 +1,11 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
-from stockline.session import fresh_folder
+from stockline.functions.dates import month_ends, with_month_end
+from stockline.session import fresh_folder, settings
 from stockline.sources.files import (
     child_names, export_csv, move_path, overwrite_table, read_categories, read_category_groups, read_checked, read_csv)
 from stockline.sources.store import DuplicateKeys, FeatureStore, FeatureTable
@@ -231,3 +233,27 @@ def test_a_table_does_not_change_its_columns_silently(store, facts):
     store.replace_months(facts, "ft")
     with pytest.raises(ValueError, match="would change"):
         store.replace_months(facts.withColumn("more", F.lit(1)), "ft")
+
+
+def test_rows_are_shuffled_once_whatever_the_number_of_tables(spark, store, capsys):
+    """Rows and tables meet by slices of days: an exchange for each, none between the joins or before the writers."""
+    days = spark.range(400).select((F.col("id") % 7).alias("a"), (F.col("id") % 3).alias("b"), F.col("id").alias("idx"),
+                                   F.expr("date_add(date'2020-06-01', cast(id % 90 as int))").alias("Date"))
+    months = month_ends("2020-06-01", "2020-08-31")
+    tables = [FeatureTable(f"by_{n}", on, unique=True) for n, on in (("a", ("a",)), ("b", ("b",)), ("ab", ("a", "b")))]
+    for t in tables:
+        store.save_feature(days, lambda d, t=t: d.groupBy(*t.on, "Date").agg(F.sum("idx").alias(f"sum_{t.name}")), t.name, months[0].replace(day=1), months[-1])
+    # A row without its day's group, and a null key.
+    rows = with_month_end(days.unionByName(days.limit(1).withColumns({"a": F.lit(None).cast("long"), "idx": F.lit(-1).cast("long")})))
+    store.save_feature(rows, keep, "rows", months[0].replace(day=1), months[-1])
+    rows = store.read("rows")
+    want = store.assemble(rows, tables, months)
+    for hashed in (True, False):
+        with settings(spark, requireAllClusterKeysForCoPartition=False, adaptive__enabled=False, autoBroadcastJoinThreshold=-1):
+            got = store.assemble_dealt(rows, tables, months, replace(store.slices(rows, tables, months), hashed=hashed))
+            got.explain("simple")
+            assert capsys.readouterr().out.count("Exchange") == 1 + len(tables)
+            assert sorted(got.select(want.columns).collect(), key=str) == sorted(want.collect(), key=str)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    wide = store.combine(rows, tables, months[0].replace(day=1), months[-1], "overwrite", months_per_commit=2)
+    assert sorted(wide.select(want.columns).collect(), key=str) == sorted(want.collect(), key=str)
