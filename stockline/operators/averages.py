@@ -19,6 +19,8 @@ GRAINS = {
 }
 ITEM_AVERAGE = "prediction_avg_all_store"
 ITEM_DAY_AVERAGE = "prediction_avg_dow_all_store"
+# Fixed value: rows of the finest grain that one task expands to all grains.
+EXPANDED_ROWS = 100_000
 
 
 def historical_average(df: DataFrame, name: str, value: str = spec.QUANTITY) -> DataFrame:
@@ -29,10 +31,15 @@ def all_averages(df: DataFrame, value: str = spec.QUANTITY) -> DataFrame:
     """Every historical average from one pass over the fact.
 
     Sums and counts are first combined at the finest grain; the grouping sets
-    then multiply those few rows instead of the fact.
+    then multiply those few rows instead of the fact. Where they are not few,
+    they are dealt to tasks by their number: six rows for each in a hash table
+    are far larger than the compressed bytes that Spark cuts tasks by.
     """
     finest = [spec.STORE, spec.ITEM, "DayOfWeek", "Month"]
     partial = df.groupBy(*finest).agg(F.sum(value).alias("__sum"), F.count(value).alias("__n"))
+    tasks = max(1, -(-df.count() // EXPANDED_ROWS))
+    # A store and item have few rows; by all of the columns, Spark would take the partitions of the aggregation.
+    partial = partial.repartition(tasks, spec.STORE, spec.ITEM)
     sets = [[F.col(c) for c in grain] for grain in GRAINS.values()]
     return (partial.groupingSets(sets, *[F.col(c) for c in finest])
             .agg(F.grouping_id().alias("grain"),
