@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stockline import spec
 from stockline.operators.clean import fill_numbers, fill_strings, nan_to_null
+from stockline.operators.factors import Inputs, fit_on_sums, predictor, sums_pay
 from stockline.operators.model import string_indexer
 from stockline.session import on_file
 from stockline.sources.files import overwrite_table, read_table
@@ -60,7 +61,8 @@ def train_embeddings(train: DataFrame, categories: Sequence[str], promos: Sequen
 
     All vectors share one length, by default that of the largest category.
     Returns the lookup tables and the fitted pipeline, whose prediction is on
-    the log scale.
+    the log scale. Where the categories and flags have far fewer combinations
+    than there are rows, the steps run on sums of each combination, not on rows.
     """
     spark = train.sparkSession
     indexed = [f"{c}_idx" for c in categories]
@@ -74,20 +76,25 @@ def train_embeddings(train: DataFrame, categories: Sequence[str], promos: Sequen
     ]).fit(train)
     labels = [list(found) for found in encode.stages[0].labelsArray]
     k = size or max(vector_size(len(found)) for found in labels)
-    logged = encode.transform(train).withColumn("log_label", F.log1p(label))
-    machine = FMRegressor(featuresCol="embedding_inputs", labelCol="log_label", factorSize=k,
-                          **params).fit(logged)
-
-    factors = machine.factors.toArray()
-    rows, at = [], 0
-    for column, found in zip(categories, labels):
-        rows += [(column, name, [float(v) for v in factors[at + i]]) for i, name in enumerate(found)]
-        at += encode.transform(train.limit(0)).schema[f"{column}_hot"].metadata["ml_attr"]["num_attrs"]
-    promo_rows = [(code, [float(v) for v in factors[at + i]]) for i, code in enumerate(promos)]
+    logged = train.withColumn("log_label", F.log1p(label))
+    machine = FMRegressor(featuresCol="embedding_inputs", labelCol="log_label", factorSize=k, **params)
+    schema, scaler = encode.transform(train.limit(0)).schema, encode.stages[3]
+    places = [schema[c].metadata["ml_attr"]["num_attrs"] for c in hot]
+    inputs = Inputs(categories, places, promos, numbers, scaler.originalMin.toArray().tolist(), scaler.originalMax.toArray().tolist())
+    if sums_pay(logged, inputs, machine):
+        weights = fit_on_sums(logged, encode.stages[0], inputs, "log_label", machine)
+        factors, last = weights.factors, predictor(weights, inputs, encode.stages[0], machine.getPredictionCol())
+    else:
+        last = machine.fit(encode.transform(logged))
+        factors = last.factors.toArray()
+
+    rows = [(column, name, [float(v) for v in factors[at + i]])
+            for column, found, at in zip(categories, labels, inputs.starts) for i, name in enumerate(found)]
+    promo_rows = [(code, [float(v) for v in factors[inputs.first_flag + i]]) for i, code in enumerate(promos)]
     lookups = Embeddings(
         spark.createDataFrame(rows, "column string, category string, vector array<double>"),
         spark.createDataFrame(promo_rows, "promo string, vector array<double>"))
-    encode.stages.append(machine)
+    encode.stages.append(last)
     return lookups, encode
 
 

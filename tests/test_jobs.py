@@ -205,3 +205,46 @@ def test_a_small_lookup_of_large_estimate_is_broadcast(spark):
     out = embedding.with_category_embeddings(rows, lookup, {"c": 1})
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
     assert out.agg(F.sum("c_embed0")).first()[0] == 1000
+
+
+@pytest.fixture(scope="module")
+def few_combinations(spark):
+    n = F.col("id")
+    return spark.range(4000).select(
+        F.when(n % 11 != 0, F.concat(F.lit("c"), n % 4)).alias("c"), (n % 3).cast("string").alias("d"),
+        (n % 5 == 0).cast("int").alias("p"), (n % 7 < 3).cast("int").alias("q"),
+        (n * 37 % 101).cast("double").alias("x"), (n * 53 % 89).alias("y"), F.lit(3).alias("same"),
+        (n % 4 * (n * 37 % 101) / 20 + n % 3 + (n % 5 == 0).cast("int") * 4).alias("TotalQtySale"))
+
+
+@pytest.mark.parametrize("params", [{"regParam": 0.001}, {"fitIntercept": False, "fitLinear": False}, {"tol": 0.05}])
+def test_vectors_from_sums_equal_those_from_rows(spark, few_combinations, monkeypatch, params):
+    columns = (["c", "d"], ["p", "q"], ["x", "y", "same"])
+    given = dict(size=3, maxIter=12, stepSize=0.1, seed=7) | params
+    new = few_combinations.limit(50).unionByName(few_combinations.limit(5).withColumn("c", F.lit("unseen")))
+
+    def learn():
+        vectors, pipeline = embedding.train_embeddings(few_combinations, *columns, **given)
+        found = {(r.column, r.category): r.vector for r in vectors.categories.collect()}
+        return found | {r.promo: r.vector for r in vectors.promos.collect()}, [r.prediction for r in pipeline.transform(new).collect()]
+
+    vectors, predicted = learn()
+    monkeypatch.setattr(embedding, "sums_pay", lambda *_: False)
+    wanted, expected = learn()
+    assert vectors.keys() == wanted.keys() and len(vectors) == 4 + 3 + 2
+    for name, vector in wanted.items():
+        assert vectors[name] == pytest.approx(vector, abs=1e-8)
+    assert predicted == pytest.approx(expected, abs=1e-8)
+
+
+def test_steps_do_not_read_the_rows(spark, few_combinations, monkeypatch):
+    read, fit = [], embedding.FMRegressor.fit
+    monkeypatch.setattr(embedding.FMRegressor, "fit", lambda self, df, *more: read.append(df.count()) or fit(self, df, *more))
+    embedding.train_embeddings(few_combinations, ["c", "d"], ["p", "q"], ["x", "y"], size=3, maxIter=5, stepSize=0.1, seed=7)
+    assert sum(read) < 100
+
+
+def test_a_quantity_that_is_no_number_is_an_error(spark, few_combinations):
+    rows = few_combinations.withColumn("TotalQtySale", F.when(F.col("x") != 5, F.col("TotalQtySale")))
+    with pytest.raises(Exception, match="(?i)number|label"):
+        embedding.train_embeddings(rows, ["c", "d"], ["p", "q"], ["x", "y"], size=3, maxIter=2, seed=7)
