@@ -13,6 +13,8 @@ Every frame ends ``lag + 1`` days before the row and spans ``n + 1`` days.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
@@ -22,6 +24,10 @@ from stockline.session import small_methods
 from stockline.spec import TrailingSpec
 
 DAY = "__day"
+# The number of the task that has a group.
+DEALT = "__dealt"
+# Fixed value: a group with more rows than this is spread over its days.
+HEAVY_ROWS = 2_000_000
 
 
 def with_day_number(daily: DataFrame, date: str) -> DataFrame:
@@ -166,13 +172,17 @@ def with_averages(df: DataFrame, spec: TrailingSpec) -> DataFrame:
     return df.select("*", *columns)
 
 
-def with_deviations(df: DataFrame, spec: TrailingSpec) -> DataFrame:
-    """Root of the mean squared distance of past days from their own averages.
+def gap_column(measure: str, days: int, all_days: bool) -> str:
+    return f"__gaps_{measure}_{days}{'_inc0' if all_days else ''}"
+
+
+def with_gap_sums(df: DataFrame, spec: TrailingSpec) -> DataFrame:
+    """Trailing sums of the squared distance of past days from their own averages.
 
     A past day is compared with the average that was trailing on that day. The
     plain variant takes only days with exactly one sold row.
     """
-    gaps, roots = [], []
+    gaps, sums = [], []
     for m in spec.measures:
         actual = F.col(m).cast("double")
         for days in spec.horizons:
@@ -181,11 +191,17 @@ def with_deviations(df: DataFrame, spec: TrailingSpec) -> DataFrame:
             gaps.append(F.pow(actual - F.col(spec.column(m, "avg", days, all_days=True)), 2).alias(every))
             gaps.append(F.when(F.col("label") == 1, F.pow(actual - F.col(spec.column(m, "avg", days)), 2))
                         .otherwise(0.0).alias(single))
-            roots.append(F.sqrt(F.try_divide(F.sum(every).over(frame), F.col(f"count_sum_{days}d")))
-                         .alias(spec.column(m, "stddev", days, all_days=True)))
-            roots.append(F.sqrt(F.try_divide(F.sum(single).over(frame), F.col(f"label_sum_{days}d")))
-                         .alias(spec.column(m, "stddev", days)))
-    return df.select("*", *gaps).select(*df.columns, *roots)
+            sums += [F.sum(every).over(frame).alias(gap_column(m, days, True)),
+                     F.sum(single).over(frame).alias(gap_column(m, days, False))]
+    return df.select("*", *gaps).select(*df.columns, *sums)
+
+
+def with_deviations(df: DataFrame, spec: TrailingSpec) -> DataFrame:
+    """Root of the mean squared distance of past days from their own averages."""
+    return df.select("*", *[
+        F.sqrt(F.try_divide(gap_column(m, days, flag), f"{'count' if flag else 'label'}_sum_{days}d"))
+        .alias(spec.column(m, "stddev", days, flag))
+        for m in spec.measures for days in spec.horizons for flag in (True, False)])
 
 
 def with_variation(df: DataFrame, spec: TrailingSpec) -> DataFrame:
@@ -205,18 +221,38 @@ def with_sum_ratios(df: DataFrame, spec: TrailingSpec) -> DataFrame:
         for m in spec.measures for a, b in spec.ratios])
 
 
-def daily_features(daily: DataFrame, spec: TrailingSpec, start=None, end=None) -> DataFrame:
-    """All trailing columns from totals per group and day."""
+def sum_columns(spec: TrailingSpec) -> list[str]:
+    """The window sums that all statistics of a row follow from, about half as many as there are statistics."""
+    sums = [spec.column(m, "sum", days) for m in spec.measures for days in spec.horizons]
+    counts = [f"{kind}_sum_{days}d" for kind in ("label", "count") for days in spec.horizons]
+    return sums + counts + [gap_column(m, days, flag) for m in spec.measures for days in spec.horizons for flag in (True, False)]
+
+
+def window_sums(daily: DataFrame, spec: TrailingSpec, start=None, end=None) -> DataFrame:
+    """Group, date, number of the day and all window sums from totals per group and day."""
     small_methods(daily.sparkSession)
     full = (daily
             .transform(with_sums, spec)
             .transform(with_averages, spec)
+            .transform(with_gap_sums, spec))
+    exact = {spec.column(m, "sum", days) for m in spec.measures for days in spec.horizons}
+    return output_slice(full, start, end, spec.date).select(*spec.group_cols, spec.date, DAY, *[
+        F.col(c).cast("double").alias(c) if c in exact else c for c in sum_columns(spec)])
+
+
+def statistics(df: DataFrame, spec: TrailingSpec) -> DataFrame:
+    """All trailing columns in place of the window sums; no other row is looked at."""
+    kept = [c for c in df.columns if c not in (*sum_columns(spec), DAY)]
+    return (df.transform(with_averages, spec)
             .transform(with_deviations, spec)
             .transform(with_variation, spec)
-            .transform(with_sum_ratios, spec))
-    kept = output_slice(full, start, end, spec.date)
-    return kept.select(*spec.group_cols, spec.date, *[
-        F.col(c).cast("double").alias(c) for c in spec.columns()])
+            .transform(with_sum_ratios, spec)
+            .select(*kept, *[F.col(c).cast("double").alias(c) for c in spec.columns()]))
+
+
+def daily_features(daily: DataFrame, spec: TrailingSpec, start=None, end=None) -> DataFrame:
+    """All trailing columns from totals per group and day."""
+    return statistics(window_sums(daily, spec, start, end), spec)
 
 
 def trailing_features(df: DataFrame, spec: TrailingSpec, start=None, end=None,
@@ -230,17 +266,59 @@ def trailing_features(df: DataFrame, spec: TrailingSpec, start=None, end=None,
     return daily_features((regroup_days if rolled else group_days)(recent, spec), spec, start, end)
 
 
+def heavy_groups(df: DataFrame, group_cols: Sequence[str], limit: int | None = None) -> Column | None:
+    """Whether a row's group has more rows than one task should get; None if no group has.
+
+    The groups come to the driver: at most one for each ``limit`` rows.
+    """
+    counts = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > (limit or HEAVY_ROWS))
+    found = counts.drop("__n").collect()
+    same = [reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(group_cols, row, strict=True)]) for row in found]
+    return reduce(Column.__or__, same) if same else None
+
+
 def attach_to_rows(df: DataFrame, daily: DataFrame, group_cols: Sequence[str], keys: Sequence[str],
                    date: str = names.DATE, month: str = names.MONTH) -> DataFrame:
     """Group-day features at row grain: key, day, month and the feature columns."""
-    on = [*group_cols, date]
-    features = [c for c in daily.columns if c not in on]
+    on = [c for c in daily.columns if c in (DEALT, *group_cols, date)]
+    features = [c for c in daily.columns if c not in (*on, DAY)]
     rows = df.select(*dict.fromkeys([*keys, date, month, *group_cols]))
     outs = list(dict.fromkeys([*keys, date, month]))
-    return rows.join(daily, on, "left").select(*outs, *features)
+    if DEALT not in on:
+        return rows.join(daily.drop(DAY), on, "left").select(*outs, *features)
+    # The order of the windows is that of the join, so the features are neither shuffled nor sorted.
+    near = with_day_number(dealt_by_group(rows, group_cols), date)
+    return near.join(daily.drop(date), [DEALT, *group_cols, DAY], "left").select(*outs, *features)
+
+
+def dealt_by_group(df: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """Rows of the same group in the same task, of the same number whatever the frame."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.withColumn(DEALT, F.pmod(F.hash(*group_cols), F.lit(tasks))).repartitionById(tasks, F.col(DEALT))
 
 
 def trailing_row_features(df: DataFrame, spec: TrailingSpec, keys: Sequence[str],
                           start=None, end=None) -> DataFrame:
+    """All trailing columns of a grouping set, one row per row of the fact.
+
+    Rows of the fact are narrow and are brought to the tasks whose windows
+    have their group; the features, which are wide, stay where they are. Only
+    groups with very many rows are dealt by group and day instead.
+    """
     rows = output_slice(df, start, end, spec.date)
-    return attach_to_rows(rows, trailing_features(df, spec, start, end), spec.group_cols, keys, spec.date)
+    daily = group_days(history_slice(df, start, spec.history_days(), spec.date, end), spec)
+
+    def by_day(rows: DataFrame, daily: DataFrame) -> DataFrame:
+        return attach_to_rows(rows, window_sums(daily, spec, start, end), spec.group_cols, keys, spec.date)
+
+    def by_group(rows: DataFrame, daily: DataFrame) -> DataFrame:
+        dealt = dealt_by_group(daily, spec.group_cols)
+        sums = window_sums(dealt, replace(spec, group_cols=(DEALT, *spec.group_cols)), start, end)
+        return attach_to_rows(rows, sums, spec.group_cols, keys, spec.date)
+
+    heavy = heavy_groups(rows, spec.group_cols)
+    if heavy is None:
+        found = by_group(rows, daily)
+    else:
+        found = by_group(rows.filter(~heavy), daily.filter(~heavy)).unionAll(by_day(rows.filter(heavy), daily.filter(heavy)))
+    return statistics(found, spec)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stockline import spec
 from stockline.operators import recency, trailing
+from stockline.session import settings as session_settings
 from stockline.sources import tables
 from stockline.spec import RecencySpec, TrailingSpec
 
@@ -223,3 +224,25 @@ def test_no_method_is_too_large_to_be_compiled(spark):
     trailing.trailing_features(series(spark, [("a", 0, 1, 1)]), one_measure())
     assert int(spark.conf.get(limit)) == 4000
     spark.conf.unset(limit)
+
+
+def test_rows_go_to_the_features(spark, small):
+    """Features are not shuffled again to meet the rows: two exchanges of the roll-up, one of the narrow rows."""
+    group = TrailingSpec("mc", (spec.ITEM,))
+    plan = trailing.trailing_row_features(tables.sales(spark, small), group, tables.KEYS)
+    with session_settings(spark, autoBroadcastJoinThreshold=-1):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("- Exchange ") == 3
+
+
+def test_heavy_and_unknown_groups_get_the_same_rows(spark, monkeypatch):
+    """Whether a group is dealt as a whole or by its days; a null group is in no table and gets nulls."""
+    group = one_measure(horizons=(30,), ratios=())
+    rows = [(g, d, d % 7, d % 2) for g, n in (("a", 90), ("b", 20), ("c", 3), (None, 40)) for d in range(n)]
+    df = series(spark, rows * 2).withColumns({"idx": F.monotonically_increasing_id(), spec.MONTH: F.last_day("Date")}).cache()
+    daily = trailing.trailing_features(df, group)
+    want = sorted(trailing.attach_to_rows(df, daily, ("g",), ["idx"]).collect())
+    assert len(want) == len(rows) * 2
+    for limit in (50, 10, 1, 1000):
+        monkeypatch.setattr(trailing, "HEAVY_ROWS", limit)
+        assert sorted(trailing.trailing_row_features(df, group, ["idx"]).collect(), key=lambda r: r.idx) == want
