@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 from dataclasses import replace
 
 import pytest
@@ -257,3 +258,39 @@ def test_rows_are_shuffled_once_whatever_the_number_of_tables(spark, store, caps
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     wide = store.combine(rows, tables, months[0].replace(day=1), months[-1], "overwrite", months_per_commit=2)
     assert sorted(wide.select(want.columns).collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_rounds_of_months_give_the_same_rows(spark, store, facts, monkeypatch):
+    """Months are assembled in runs of bounded size; rows that share features lie together, as they are sorted before the join."""
+    store.save_feature(facts, by_day, "totals", START, END)
+    tables = [FeatureTable("totals", ("item",), unique=True)]
+    want = sorted(store.combine(facts, tables, START, END, "overwrite", "whole", months_per_commit=9).collect())
+    written, write = [], FeatureStore._write
+
+    def watched(self, df, name, *more):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        written.append((df.select("Date_EOM").distinct().count(), plan.index("Join") < plan.index("Sort [Date_EOM")))
+        write(self, df, name, *more)
+
+    monkeypatch.setattr(FeatureStore, "_write", watched)
+    monkeypatch.setattr("stockline.sources.store.ROUND_BYTES", 1)
+    with settings(spark, autoBroadcastJoinThreshold=-1):
+        got = sorted(store.combine(facts, tables, START, END, "overwrite", "parts", months_per_commit=9).collect())
+    assert got == want and written == [(1, True)] * 4
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_what_a_write_shuffles_is_deleted(spark, store, facts):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = blocks.getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    before = shuffled()
+    store.save_feature(facts, by_day, "totals", START, END)
+    # They are deleted by other threads.
+    until = time.monotonic() + 30
+    while not shuffled() <= before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert shuffled() <= before
