@@ -248,3 +248,18 @@ def test_a_quantity_that_is_no_number_is_an_error(spark, few_combinations):
     rows = few_combinations.withColumn("TotalQtySale", F.when(F.col("x") != 5, F.col("TotalQtySale")))
     with pytest.raises(Exception, match="(?i)number|label"):
         embedding.train_embeddings(rows, ["c", "d"], ["p", "q"], ["x", "y"], size=3, maxIter=2, seed=7)
+
+
+def test_trees_are_fitted_in_few_tasks(spark, trained):
+    """Every task of a level sends a histogram per node, so tasks are as few as memory and cores allow."""
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.read.parquet(f"{trained[1]}/training_dataset").repartition(4 * cores)
+    assert model.in_few_tasks(rows).rdd.getNumPartitions() == cores
+    width, n = len(rows.first()[model.FEATURES]), rows.count()
+    assert model.in_few_tasks(rows, size=-(-n * 4 * width // (2 * cores))).rdd.getNumPartitions() == 2 * cores
+    assert model.in_few_tasks(rows, size=1).rdd.getNumPartitions() == 4 * cores
+    assert model.in_few_tasks(rows.limit(0)).count() == 0
+    read = []
+    given = lambda self, df, *more: read.append(df.rdd.getNumPartitions()) or RandomForestRegressor.fit(self, df, *more)
+    model.fit_regressor(rows, type("Watched", (RandomForestRegressor,), {"fit": given}), numTrees=1, maxDepth=1)
+    assert read == [cores]
