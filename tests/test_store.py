@@ -261,7 +261,7 @@ def test_rows_are_shuffled_once_whatever_the_number_of_tables(spark, store, caps
 
 
 def test_rounds_of_months_give_the_same_rows(spark, store, facts, monkeypatch):
-    """Months are assembled in runs of bounded size; rows that share features lie together, as they are sorted before the join."""
+    """Months are assembled in runs of bounded size; rows that share features lie together, by day and category."""
     store.save_feature(facts, by_day, "totals", START, END)
     tables = [FeatureTable("totals", ("item",), unique=True)]
     want = sorted(store.combine(facts, tables, START, END, "overwrite", "whole", months_per_commit=9).collect())
@@ -269,7 +269,7 @@ def test_rounds_of_months_give_the_same_rows(spark, store, facts, monkeypatch):
 
     def watched(self, df, name, *more):
         plan = df._jdf.queryExecution().executedPlan().toString()
-        written.append((df.select("Date_EOM").distinct().count(), plan.index("Join") < plan.index("Sort [Date_EOM")))
+        written.append((df.select("Date_EOM").distinct().count(), plan.index("Sort [Date_EOM") < plan.index("Join")))
         write(self, df, name, *more)
 
     monkeypatch.setattr(FeatureStore, "_write", watched)
